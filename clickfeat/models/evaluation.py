@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.functions.numeric import log_loss_term
-from clickfeat.operators.ordering import running_totals, store_in_order
+from clickfeat.operators.ordering import bucket_totals, running_totals, store_in_order
 
 
 def log_loss(p: str = "p", label: str = "label", eps: float = 1e-15) -> Column:
@@ -30,10 +30,10 @@ def precision_recall(
     )
     order = [F.col("threshold").desc()]
     stored = store_in_order(counts, order, "scores", buckets)
-    curve = running_totals(
-        stored, order, {"taken": F.col("rows"), "found": F.col("hits")}
-    )
-    positives = stored.agg(F.sum("hits")).first()[0] or 0
+    measures = {"taken": F.col("rows"), "found": F.col("hits")}
+    totals = bucket_totals(stored, measures)
+    positives = sum(row["found"] for row in totals)
+    curve = running_totals(stored, order, measures, totals=totals)
     return curve.select(
         "threshold",
         (F.col("found") / F.col("taken")).alias("precision"),

@@ -32,14 +32,12 @@ def replace_levels(
 
 def frequent_levels(counts: LevelTable, more_than: int) -> LevelTable:
     """Present levels with strictly more rows than ``more_than``."""
-    return counts.where(F.col("value").isNotNull() & (F.col("n") > more_than)).select(
-        kept=F.col("value")
-    )
+    return counts.where(F.col("value").isNotNull() & (F.col("n") > more_than))
 
 
 def drop_rare_levels(df: DataFrame, roles: Roles, frequent: LevelTable, **kw) -> DataFrame:
     """Rare and unseen levels become missing."""
-    return replace_levels(df, roles, frequent, "kept", **kw)
+    return replace_levels(df, roles, frequent, "value", **kw)
 
 
 def index_levels(df: DataFrame, roles: Roles, numbered: LevelTable, **kw) -> DataFrame:

@@ -7,15 +7,15 @@ distributed; only one row per column or bucket ever reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.operators.ordering import BUCKET, number_rows, store_in_order
+from clickfeat.operators.ordering import bucket_totals, number_rows, store_in_order
 from clickfeat.roles import Roles
-
-ORDER = ("pos", "value")
+from clickfeat.workspace import store
 
 
 def level_counts(
@@ -67,12 +67,15 @@ def level_summary(counts: DataFrame) -> DataFrame:
     Counts that keep missing levels give a row (0 levels, no mode) for an all-missing column too.
     Among equally frequent levels the smallest is the mode.
     """
-    # ~value falls as value rises and cannot overflow.
-    rank = F.when(F.col("value").isNotNull(), F.struct("n", F.bitwise_not("value")))
-    return counts.groupBy("pos", "col").agg(
-        F.max_by("value", rank).alias("mode"),
-        F.max(F.when(F.col("value").isNotNull(), F.col("n"))).alias("mode_n"),
-        F.count("value").alias("levels"),
+    # First per distinct count, then per column: only fixed-width buffers, so both aggregates hash.
+    present = F.col("value").isNotNull()
+    per_count = counts.groupBy("pos", "col", F.when(present, F.col("n")).alias("n")).agg(
+        F.min("value").alias("smallest"), F.count("value").alias("levels")
+    )
+    return per_count.groupBy("pos", "col").agg(
+        F.max_by("smallest", "n").alias("mode"),
+        F.max("n").alias("mode_n"),
+        F.sum("levels").alias("levels"),
     )
 
 
@@ -100,45 +103,52 @@ def target_rates(counts: DataFrame) -> DataFrame:
 
 @dataclass
 class LevelTable:
-    """A stored level table with what the driver needs to know about its size."""
+    """A stored level table, and how many levels of each column it holds.
 
-    frame: DataFrame
-    rows: dict[str, int] = field(default_factory=dict)
-    """Non-missing levels per column."""
-    total: int = 0
-    """Rows of the counted table."""
+    Sizes are counted once, when first needed: one row per bucket and column reaches the driver.
+    """
 
-    @classmethod
-    def keep(cls, counts: DataFrame, buckets: int | None = None, path: str | None = None):
-        """Store a level frame in (column position, value) order."""
-        return cls.measure(store_in_order(counts, ORDER, "levels", buckets, path))
+    frame: DataFrame
+    origin: LevelTable | None = None
+    """The table this one was filtered from."""
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str):
-        return cls.measure(spark.read.parquet(path))
+    def keep(
+        cls, counts: DataFrame, buckets: int | None = None, path: str | None = None
+    ) -> LevelTable:
+        """Store a level frame in (column position, value) order, one folder per column."""
+        return cls(store_in_order(counts, ("pos", "value"), "levels", buckets, path, by="col"))
 
     @classmethod
-    def measure(cls, stored: DataFrame):
-        sizes = (
-            stored.groupBy("pos", "col")
-            .agg(F.count("value").alias("levels"), F.sum("n").alias("n"))
-            .orderBy("pos")
-            .collect()  # one row per column
-        )
-        return cls(
-            stored,
-            {r["col"]: r["levels"] for r in sizes},
-            max((r["n"] for r in sizes), default=0),
-        )
+    def load(cls, spark: SparkSession, path: str) -> LevelTable:
+        return cls(spark.read.parquet(path).withColumn("col", F.col("col").cast("string")))
+
+    @cached_property
+    def sizes(self) -> list[Row]:
+        measures = {"levels": F.col("value").isNotNull().cast("bigint"), "n": F.col("n")}
+        return bucket_totals(self.frame, measures, within=["pos", "col"])
+
+    @cached_property
+    def rows(self) -> dict[str, int]:
+        """Non-missing levels per column."""
+        return self._per_column("levels")
+
+    @cached_property
+    def total(self) -> int:
+        """Rows of the counted table."""
+        if self.origin is not None:
+            return self.origin.total
+        return max(self._per_column("n").values(), default=0)
+
+    def _per_column(self, measure: str) -> dict[str, int]:
+        sums: dict[str, int] = {}
+        for size in self.sizes:
+            sums[size["col"]] = sums.get(size["col"], 0) + size[measure]
+        return sums
 
     def where(self, condition: Column) -> LevelTable:
-        """The table without the levels that fail a condition; ``total`` stays."""
-        kept = LevelTable.measure(self.frame.filter(condition))
-        return LevelTable(kept.frame, kept.rows, self.total)
-
-    def select(self, **columns: Column) -> LevelTable:
-        """The table with further columns."""
-        return LevelTable(self.frame.withColumns(columns), self.rows, self.total)
+        """Only the levels that meet a condition."""
+        return LevelTable(self.frame.filter(condition), origin=self)
 
     def modes(self) -> dict[str, int | None]:
         """The mode of every column: one row per column."""
@@ -147,17 +157,26 @@ class LevelTable:
     def numbered(self, name: str = "idx", per_column: bool = False) -> LevelTable:
         """Number the non-missing levels from 0 by (position, value), over all columns or each.
 
-        The numbers depend on the data alone, never on how it is partitioned.
+        The numbers depend on the data alone, never on how it is partitioned. The result is stored
+        too, so that a lookup reads its column's folder and nothing else.
         """
-        present = self.frame.filter(F.col("value").isNotNull())
+        present = self.where(F.col("value").isNotNull())
         numbered = number_rows(
-            present, ["value"], name, within=["pos", "col"], restart=per_column
+            present.frame,
+            ["value"],
+            name,
+            within=["pos", "col"],
+            restart=per_column,
+            totals=[Row(**{**size.asDict(), name: size["levels"]}) for size in self.sizes],
+        )
+        result = LevelTable(
+            store(numbered.sortWithinPartitions("col", "value"), "numbered", by="col"), origin=self
         )
-        return LevelTable(numbered, self.rows, self.total)
+        result.sizes = self.sizes
+        return result
 
 
 __all__ = [
-    "BUCKET",
     "LevelTable",
     "class_totals",
     "level_counts",

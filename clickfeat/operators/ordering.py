@@ -9,25 +9,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from clickfeat.workspace import store
+from clickfeat.workspace import small_table, store
 
 BUCKET = "bucket"
 
 
 def store_in_order(
-    df: DataFrame, order: Sequence[Column | str], name: str, buckets: int | None = None,
+    df: DataFrame,
+    order: Sequence[Column | str],
+    name: str,
+    buckets: int | None = None,
     path: str | None = None,
+    by: str | None = None,
 ) -> DataFrame:
-    """Write ``df`` range-partitioned and sorted by ``order``, with its ``bucket`` number.
+    """Write ``df`` range-partitioned by ``order``, with its ``bucket`` number.
 
     The order must be unique per row. Without ``buckets``, adaptive execution sizes them.
     """
     ranged = df.repartitionByRange(*([buckets] if buckets else []), *order)
-    ordered = ranged.withColumn(BUCKET, F.spark_partition_id()).sortWithinPartitions(*order)
-    return store(ordered, name, path)
+    ordered = ranged.withColumn(BUCKET, F.spark_partition_id()).sortWithinPartitions(
+        *([by] if by else []), *order
+    )
+    return store(ordered, name, path, by)
+
+
+def bucket_totals(
+    stored: DataFrame, measures: dict[str, Column], within: Sequence[str] = ()
+) -> list[Row]:
+    """The sum of every measure per bucket (and leading order values), in order.
+
+    At most one row per bucket plus one per combination of leading values.
+    """
+    keys = [BUCKET, *within]
+    sums = [F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(n) for n, m in measures.items()]
+    rows = stored.groupBy(*keys).agg(*sums).collect()
+    return sorted(rows, key=lambda row: tuple(row[k] for k in keys))
 
 
 def running_totals(
@@ -36,42 +56,38 @@ def running_totals(
     measures: dict[str, Column],
     within: Sequence[str] = (),
     restart: bool = False,
+    totals: Sequence[Row] | None = None,
 ) -> DataFrame:
     """Add the inclusive running total of every measure, in the stored order.
 
     ``within`` names leading order columns that also split the windows, so that a filter on them
-    reaches the scan; ``restart`` starts the totals anew for each of their values.
+    reaches the scan; ``restart`` starts the totals anew for each of their values. ``totals``
+    passes the :func:`bucket_totals` where they are known.
     """
     keys = [BUCKET, *within]
-    totals = (
-        stored.groupBy(*keys)
-        .agg(*[F.sum(m).cast("bigint").alias(name) for name, m in measures.items()])
-        .orderBy(*keys)
-        .collect()  # one row per bucket and leading value
-    )
+    if totals is None:
+        totals = bucket_totals(stored, measures, within)
     starts, so_far = [], {}
     for row in totals:
         group = tuple(row[k] for k in within) if restart else ()
         before = so_far.get(group, (0,) * len(measures))
         starts.append((*[row[k] for k in keys], *before))
-        so_far[group] = tuple(b + (row[m] or 0) for b, m in zip(before, measures))
-    return _with_starts(stored, keys, order, measures, starts)
-
-
-def _with_starts(stored, keys, order, measures, starts):
-    spark = stored.sparkSession
-    key_fields = [stored.schema[k] for k in keys]
-    types = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields]
-        + [f"`_start_{m}` bigint" for m in measures]
-    )
-    window = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        so_far[group] = tuple(b + row[m] for b, m in zip(before, measures))
+
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}
+    start_of = {m: f"_start_{m}" for m in measures}
+    start_table = small_table(
+        stored.sparkSession,
+        [*keys, *start_of.values()],
+        [kinds[stored.schema[k].dataType.simpleString()] for k in keys]
+        + [pa.int64()] * len(measures),
+        starts,
     )
-    with_start = stored.join(F.broadcast(spark.createDataFrame(starts, types)), keys)
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    with_start = stored.join(F.broadcast(start_table), keys)
     return with_start.withColumns(
-        {m: F.col(f"_start_{m}") + F.sum(v).over(window) for m, v in measures.items()}
-    ).drop(*[f"_start_{m}" for m in measures])
+        {m: F.col(start_of[m]) + F.sum(v).over(window) for m, v in measures.items()}
+    ).drop(*start_of.values())
 
 
 def number_rows(stored: DataFrame, order: Sequence[Column | str], name: str, **kw) -> DataFrame:

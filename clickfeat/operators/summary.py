@@ -17,9 +17,7 @@ def numeric_summary(df: DataFrame, roles: Roles, columns: Sequence[str] | None =
     One scan and one aggregate for all columns, then one output row per column.
     """
     names = columns or (roles.label, *roles.numeric)
-    measures = {
-        "min": F.min, "max": F.max, "mean": F.avg, "sum": F.sum, "n": F.count,
-    }
+    measures = {"min": F.min, "max": F.max, "sum": F.sum, "n": F.count}
     row = df.agg(
         *[
             f(F.col(c).cast("double")).alias(f"_{i}_{m}")
@@ -32,10 +30,12 @@ def numeric_summary(df: DataFrame, roles: Roles, columns: Sequence[str] | None =
             F.lit(roles.position(c)).alias("pos"),
             F.lit(c).alias("col"),
             *[F.col(f"_{i}_{m}").alias(m) for m in measures],
+            F.try_divide(F.col(f"_{i}_sum"), F.col(f"_{i}_n")).alias("mean"),
         )
         for i, c in enumerate(names)
     ]
-    return row.select(F.inline(F.array(*cells)))
+    table = row.select(F.inline(F.array(*cells)))
+    return table.select("pos", "col", "min", "max", "mean", "sum", "n")
 
 
 def level_cardinality(df: DataFrame, roles: Roles, include_id: bool = False) -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import ClassVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from clickfeat.operators import encoding, imputing, scaling
 from clickfeat.operators.levels import LevelTable, level_counts, target_rates
 from clickfeat.operators.summary import bounds_of, means_of
 from clickfeat.roles import Roles
+from clickfeat.workspace import small_table
 
 
 class Known:
@@ -39,8 +41,9 @@ class Known:
         if self._corners is None:
             lows, highs, gaps = ([bounds[c][k] for c in names] for k in range(3))
             gapped = [None if gap else low for low, gap in zip(lows, gaps)]
-            types = ", ".join(f"`{c}` double" for c in names)
-            self._corners = self.df.sparkSession.createDataFrame([lows, highs, gapped], types)
+            self._corners = small_table(
+                self.df.sparkSession, names, [pa.float64()] * len(names), [lows, highs, gapped]
+            )
         return bounds
 
     def counts(self) -> LevelTable:

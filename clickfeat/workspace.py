@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN = uuid.uuid4().hex
@@ -30,14 +32,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` as parquet and return the written table."""
+def store(
+    df: DataFrame, name: str, path: str | None = None, by: str | None = None
+) -> DataFrame:
+    """Write ``df`` as parquet, in one folder per ``by`` value if asked, and return the table."""
     spark = df.sparkSession
     path = path or new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, names: Sequence[str], types: Sequence, rows) -> DataFrame:
+    """A table of a few driver-side rows, as a local relation."""
+    columns = zip(*rows) if rows else [[] for _ in names]
+    arrays = [pa.array(list(values), type) for values, type in zip(columns, types)]
+    return spark.createDataFrame(pa.table(arrays, names=list(names)))
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this process has kept. Frames that read them stop working."""
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
