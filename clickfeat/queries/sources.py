@@ -334,10 +334,10 @@ def missing_counts(spark, sf_dir):
 
 @query(f"WITH {LI} SELECT id, label, i1, i2, i3, i4, c3 FROM li")
 def project_low_cardinality(spark, sf_dir):
-    """Numeric columns, and categorical columns of fewer than 50 levels (here the smallest)."""
+    """Numeric columns, and categorical columns of fewer than 8 levels."""
     frame = li(spark, sf_dir)
     levels = {r["col"]: r["levels"] for r in level_cardinality(frame, LI_ROLES).collect()}
-    low = [c for c in LI_ROLES.categorical if levels.get(c, 0) < 50]
+    low = [c for c in LI_ROLES.categorical if levels.get(c, 0) < 8]
     return frame.select(*LI_ROLES.keep([*LI_ROLES.numeric, *low]).columns)
 
 
