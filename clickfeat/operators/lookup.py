@@ -70,10 +70,12 @@ def _shuffled_join(df, table, column, facts):
     cold = _side(table, column, {**facts, n: "n"}, cold_key).filter(F.col(n) < floor).drop(n)
 
     rows = df.join(F.broadcast(hot), F.col(column) == F.col(hot_key), "left")
+    # Maps have no hash; every other column helps to tell rows apart.
+    hashed = [F.col(c) for c, kind in df.dtypes if "map<" not in kind]
     settled = F.col(column).isNull() | F.col(hot_key).isNotNull()
     level_hash = F.xxhash64(F.col(column))
     rows = rows.withColumn(
-        spread, F.when(settled, F.xxhash64(*[F.col(c) for c in names])).otherwise(level_hash)
+        spread, F.when(settled, F.xxhash64(*hashed)).otherwise(level_hash)
     )
     joined = rows.join(
         cold.withColumn("__cold_spread", F.xxhash64(cold_key)),

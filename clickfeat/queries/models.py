@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickfeat.functions.numeric import recode_label
 from clickfeat.models import evaluation, logistic
 from clickfeat.models.bayes import NaiveBayes, scores_above
 from clickfeat.operators import assembling, scaling, summary
-from clickfeat.queries.frames import LI, LI_ROLES, counts, li, query, rounded
+from clickfeat.queries.frames import LI, LI_ROLES, counts, li, query, rounded, table
 
 # Fixed weights for the scoring queries.
 WEIGHTS = {"i2": 0.00001, "i4": -3.5, "c3": 0.05}
@@ -158,6 +159,17 @@ def logreg_fit_hashed(spark, sf_dir):
     return logistic.coefficients(model, rows, names).filter(F.col("weight") != 0)
 
 
+@query()
+def logreg_fit_dense(spark, sf_dir):
+    """Weights on labelled dense vectors: the upper half of the label values against the lower."""
+    labelled = table(spark, sf_dir, "embeddings").select(
+        recode_label(F.col("label"), F.col("label") > 4, 1.0, 0.0).alias("label"),
+        logistic.dense_vector(F.col("embedding").cast("array<double>")).alias("features"),
+    )
+    model = logistic.fit(labelled, logistic.DENSE)
+    return logistic.coefficients(model, labelled, [f"x{i}" for i in range(model.numFeatures)])
+
+
 @query()
 def repeated_holdout(spark, sf_dir):
     """Log loss of three hold-out splits, on both parts."""

@@ -92,6 +92,7 @@ def test_training_jobs(spark, source, tmp_path):
     assert {r["threshold"] for r in curve.collect()} == {0.0, 1.0}  # C1 decides the label
     model, curve = jobs.train_hashed(spark, source, bits=8)
     assert model.numFeatures == 30 + 256 and curve.count() == 2
+    assert jobs.train_indexed(spark, source).first()["loss"] < 0.3
     dense = tmp_path / "dense.csv"
     dense.write_text("\n".join(f"{i % 2},{i % 2 + i / 100},{i % 5}" for i in range(60)))
     assert jobs.train_dense(spark, str(dense), str(dense)).first()["loss"] < 0.3
