@@ -109,6 +109,25 @@ def test_large_lookups_are_not_broadcast_whole(wide):
     assert [r["rows"] for r in hot] == [df.filter("c1 = 42").count()]
 
 
+def test_shuffled_lookup_spreads_hot_and_missing_levels(spark, wide):
+    df, roles = wide
+    third = F.pmod(F.xxhash64("id"), F.lit(3))
+    level = F.when(third == 0, F.lit(42)).when(third == 1, F.lit(None)).otherwise(F.col("c1"))
+    skewed = df.withColumn("c1", level.cast("bigint"))
+    table = LevelTable.keep(lv.level_counts(skewed, roles))
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        found = attach(skewed, table, {"c1": {"rows": "n"}}, broadcast_levels=0)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+    assert len(sizes) == 4 and sum(sizes) == 3000
+    assert max(sizes) < 1000  # hashing the level alone would put two thirds into two tasks
+
+
 @pytest.mark.parametrize("buckets", [1, 7])
 def test_running_totals(spark, buckets):
     df = spark.range(200).select((F.col("id") * 37 % 200).alias("k"), F.col("id").alias("v"))
