@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickfeat.operators.ordering import bucket_totals, number_rows, store_in_order
 from clickfeat.roles import Roles
@@ -120,8 +121,9 @@ class LevelTable:
         return cls(store_in_order(counts, ("pos", "value"), "levels", buckets, path, by="col"))
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> LevelTable:
-        return cls(spark.read.parquet(path).withColumn("col", F.col("col").cast("string")))
+    def load(cls, spark: SparkSession, path: str, schema: StructType) -> LevelTable:
+        """A kept table. The schema is needed since a table without levels has no files."""
+        return cls(spark.read.schema(schema).parquet(path))
 
     @cached_property
     def sizes(self) -> list[Row]:

@@ -13,7 +13,7 @@ from clickfeat.models.evaluation import log_loss, precision_recall
 from clickfeat.operators import assembling, encoding, scaling, splitting, summary
 from clickfeat.operators.imputing import fill_column_mean
 from clickfeat.operators.levels import LevelTable, level_counts
-from clickfeat.plans.stages import FittedStages, Impute, Stages, default_stages
+from clickfeat.plans.stages import EncodeTarget, FittedStages, Impute, Stages, default_stages
 from clickfeat.sinks.text import csv_line, rate_line, sparse_line, vw_line, write_lines
 from clickfeat.sources.csv import (
     parse_labelled_dense,
@@ -80,14 +80,18 @@ def csv_to_sparse_text(
 def fit_target_rates(spark: SparkSession, source: str, out: str, state: str) -> None:
     """Label mean of every level, as text and as saved state."""
     df, roles = parse_nullable_integers(read_lines(spark, source))
-    rates = encoding.fit_target_rates(df, roles)
+    fitted = Stages([EncodeTarget()]).fit(df, roles)
+    _write_rates(fitted.stages[0].table, out)
+    fitted.save(spark, state)
+
+
+def _write_rates(rates: LevelTable, out: str) -> None:
     write_lines(rates.frame, rate_line(F.col("pos"), F.col("value"), F.col("rate")), out)
-    LevelTable.keep(rates.frame, path=state)
 
 
 def apply_target_rates(spark: SparkSession, source: str, state: str, out: str) -> None:
-    df, roles = parse_nullable_integers(read_lines(spark, source))
-    encoded = encoding.target_encode(df, roles, LevelTable.load(spark, state))
+    df, _ = parse_nullable_integers(read_lines(spark, source))
+    encoded = FittedStages.load(spark, state).transform(df)
     write_lines(encoding.as_doubles(encoded), csv_line(df.columns), out)
 
 
@@ -104,7 +108,7 @@ def encode_and_fill(spark: SparkSession, source: str, out: str, rates_out: str)
     """Target encoding and column-mean fill in one job, to separate folders."""
     df, roles = parse_nullable_integers(read_lines(spark, source))
     rates = encoding.fit_target_rates(df, roles)
-    write_lines(rates.frame, rate_line(F.col("pos"), F.col("value"), F.col("rate")), rates_out)
+    _write_rates(rates, rates_out)
     encoded = encoding.as_doubles(encoding.target_encode(df, roles, rates))
     write_lines(fill_column_mean(encoded), csv_line(df.columns), out)
 

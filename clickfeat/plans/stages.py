@@ -17,6 +17,7 @@ from typing import ClassVar
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickfeat.operators import encoding, imputing, scaling
 from clickfeat.operators.levels import LevelTable, level_counts, target_rates
@@ -258,14 +259,14 @@ class FittedStages:
         """Write the fitted state as parquet: one row per stage, one level table where it has one."""
         rows = []
         for i, stage in enumerate(self.stages):
-            rows.append((i, type(stage).__name__, json.dumps(stage.state()), stage.levels is not None))
+            schema = None
             if stage.levels is not None:
-                LevelTable.keep(stage.levels.frame, path=f"{path}/levels-{i}")
-        roles = json.dumps(vars(self.roles))
-        spark.createDataFrame(
-            [(*row, roles) for row in rows],
-            "position int, kind string, state string, has_levels boolean, roles string",
-        ).write.parquet(f"{path}/stages")
+                kept = LevelTable.keep(stage.levels.frame, path=f"{path}/levels-{i}")
+                schema = kept.frame.schema.json()
+            state, roles = json.dumps(stage.state()), json.dumps(vars(self.roles))
+            rows.append((i, type(stage).__name__, state, schema, roles))
+        types = "position int, kind string, state string, level_schema string, roles string"
+        spark.createDataFrame(rows, types).coalesce(1).write.parquet(f"{path}/stages")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FittedStages:
@@ -276,8 +277,9 @@ class FittedStages:
                 named["id"], named["label"], tuple(named["numeric"]), tuple(named["categorical"])
             )
             state = json.loads(row["state"])
-            if row["has_levels"]:
-                state["table"] = LevelTable.load(spark, f"{path}/levels-{row['position']}")
+            if row["level_schema"] is not None:
+                schema = StructType.fromJson(json.loads(row["level_schema"]))
+                state["table"] = LevelTable.load(spark, f"{path}/levels-{row['position']}", schema)
             stages.append(_FITTED[row["kind"]](roles, **state))
         return cls(stages[0].roles, stages)
 

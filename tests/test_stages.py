@@ -76,3 +76,13 @@ def test_imputed_levels_are_counted_again(clicks):
     assert rows_of(fitted.transform(df), "c1", "c2") == [
         (-1, -1), (-1, 1), (0, -1), (0, 1), (0, 1),
     ]
+
+
+def test_state_without_any_level(spark, clicks):
+    df, roles = clicks
+    bare = df.withColumns({c: F.lit(None).cast("bigint") for c in roles.categorical})
+    fitted = Stages([EncodeTarget(), FillMissing(1)]).fit(bare, roles)
+    path = new_path(spark, "test-bare")
+    fitted.save(spark, path)
+    loaded = FittedStages.load(spark, path).transform(df)
+    assert rows_of(loaded, "id", "c1") == [(1, 7.0), (2, 7.0), (3, 3.0), (3, 3.0), (5, None)]

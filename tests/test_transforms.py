@@ -117,10 +117,15 @@ def test_hashed_entries(spark):
     }
 
 
-def test_signed_hashes_cancel(spark):
+def test_too_many_numbers_for_the_hashed_layout(spark):
+    roles = Roles("id", "y", tuple(f"x{i}" for i in range(31)), ())
+    with pytest.raises(ValueError, match="31"):
+        assembling.hash_features(spark.range(1), roles)
+
+
+def test_signed_hashes_add_up(spark):
     roles = Roles("id", "y", (), ("c1", "c2"))
-    # 1 and 1 + 2^12 + (2^32) fold into the same slot with opposite parity of bit 0: none; equal
-    # levels of two columns meet and add up instead.
+    # Slot and sign come from the same low bits, so entries that meet have one sign and add up.
     df = spark.createDataFrame([(1, 1.0, 3, 3)], "id bigint, y double, c1 bigint, c2 bigint")
     assert assembling.hash_features_signed(df, roles).first()["entries"] == [(3, 2.0)]
 
