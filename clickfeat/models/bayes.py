@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfeat.functions.numeric import sigmoid
@@ -40,26 +40,29 @@ class NaiveBayes:
         totals = (columns[0]["all_n0"], columns[0]["all_n1"]) if columns else (0, 0)
         return cls(roles, levels, pools, totals)
 
+    def _log_odds(self, n0: Column, n1: Column) -> Column:
+        """What a level with these class counts adds to the log-odds; a zero count counts as 1."""
+        all0, all1 = (F.lit(float(max(t, 1))) for t in self.totals)
+        return F.ln(F.greatest(n1, F.lit(1)) / all1) - F.ln(F.greatest(n0, F.lit(1)) / all0)
+
     def score(
         self, df: DataFrame, name: str = "p", broadcast_levels: int = BROADCAST_LEVELS
     ) -> DataFrame:
         """Add the probability of label 1.
 
-        Log-odds are summed, so many columns cannot underflow. A level the model does not hold
-        uses the column's pool; a zero count counts as 1.
+        Log-odds are taken per level, once, and summed per row, so many columns cannot underflow. A
+        level the model does not hold uses the column's pool.
         """
         columns = self.roles.categorical
-        wanted = {c: {f"__{c}_n0": "n0", f"__{c}_n1": "n1"} for c in columns}
-        found = attach(df, self.levels, wanted, broadcast_levels)
+        log_odds = {"log_odds": self._log_odds(F.col("n0"), F.col("n1"))}
+        wanted = {c: {f"__{c}_odds": "log_odds"} for c in columns}
+        found = attach(df, self.levels.with_columns(log_odds), wanted, broadcast_levels)
         all0, all1 = (F.lit(float(max(t, 1))) for t in self.totals)
-        log_odds = F.ln(all1) - F.ln(all0)
+        margin = F.ln(all1) - F.ln(all0)
         for c in columns:
-            rows0, rows1 = (
-                F.greatest(F.coalesce(F.col(f"__{c}_n{k}"), F.lit(self.pools.get(c, (0, 0))[k])), F.lit(1))
-                for k in (0, 1)
-            )
-            log_odds = log_odds + F.ln(rows1 / all1) - F.ln(rows0 / all0)
-        return found.select(*df.columns, sigmoid(log_odds).alias(name))
+            pool = self._log_odds(*[F.lit(n) for n in self.pools.get(c, (0, 0))])
+            margin = margin + F.coalesce(F.col(f"__{c}_odds"), pool)
+        return found.select(*df.columns, sigmoid(margin).alias(name))
 
 
 def scores_above(scored: DataFrame, threshold: float = 0.01, name: str = "p") -> DataFrame:

@@ -152,6 +152,15 @@ class LevelTable:
         """Only the levels that meet a condition."""
         return LevelTable(self.frame.filter(condition), origin=self)
 
+    def with_columns(self, columns: dict[str, Column]) -> LevelTable:
+        """The same levels with further facts."""
+        return self._same_levels(self.frame.withColumns(columns))
+
+    def _same_levels(self, frame: DataFrame) -> LevelTable:
+        table = LevelTable(frame, origin=self)
+        table.sizes = self.sizes
+        return table
+
     def modes(self) -> dict[str, int | None]:
         """The mode of every column: one row per column."""
         return {r["col"]: r["mode"] for r in level_summary(self.frame).collect()}
@@ -171,11 +180,8 @@ class LevelTable:
             restart=per_column,
             totals=[Row(**{**size.asDict(), name: size["levels"]}) for size in self.sizes],
         )
-        result = LevelTable(
-            store(numbered.sortWithinPartitions("col", "value"), "numbered", by="col"), origin=self
-        )
-        result.sizes = self.sizes
-        return result
+        ordered = numbered.sortWithinPartitions("col", "value")
+        return self._same_levels(store(ordered, "numbered", by="col"))
 
 
 __all__ = [

@@ -96,6 +96,8 @@ def test_naive_bayes_by_hand(spark):
     assert scores[1] == pytest.approx(product([2, 1], [1, 3]))
     assert scores[2] == pytest.approx(product([2, 1], [1, 1]))  # level 2 is pooled
     assert scores[4] == pytest.approx(product([1, 1], [2, 1]))  # 6 was never label 1: count 1
+    shuffled = {r["id"]: r["p"] for r in model.score(df, broadcast_levels=0).collect()}
+    assert shuffled == scores
     unseen = df.limit(1).withColumns({"c1": F.lit(99).cast("bigint"), "c2": F.lit(1).cast("bigint")})
     assert model.score(unseen).first()["p"] == pytest.approx(product([1, 1], [1, 3]))
 
