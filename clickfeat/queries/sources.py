@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.functions.text import cell_text, long_to_hex
 from clickfeat.operators import projection
-from clickfeat.operators.assembling import assemble_sparse
+from clickfeat.operators.assembling import assemble_sparse as assemble
 from clickfeat.operators.encoding import fit_target_rates, index_levels
 from clickfeat.operators.levels import LevelTable, level_counts
 from clickfeat.operators.ordering import number_rows, store_in_order
@@ -240,7 +240,7 @@ LEFT JOIN ix c ON c.col = 'c3' AND c.value = c3"""
 def _assembled(spark, sf_dir):
     frame = li(spark, sf_dir)
     levels = LevelTable.keep(level_counts(frame, LI_ROLES, keep_missing=False))
-    return assemble_sparse(index_levels(frame, LI_ROLES, levels.numbered()), LI_ROLES)
+    return assemble(index_levels(frame, LI_ROLES, levels.numbered()), LI_ROLES)
 
 
 @query(_SPARSE_TEXT)
@@ -260,7 +260,7 @@ SELECT id, CAST(list_count([i1, i2, i3, i4, a.idx, b.idx, c.idx]) AS BIGINT) AS
 LEFT JOIN ix a ON a.col = 'c1' AND a.value = c1 LEFT JOIN ix b ON b.col = 'c2' AND b.value = c2
 LEFT JOIN ix c ON c.col = 'c3' AND c.value = c3"""
 )
-def assemble_sparse_vectors(spark, sf_dir):
+def assemble_sparse(spark, sf_dir):
     frame = _assembled(spark, sf_dir)
     slots = {f"slot_{c}": F.when(F.col(c) >= 0, F.col(c) + 4) for c in LI_ROLES.categorical}
     total = F.aggregate("entries", F.lit(0.0), lambda a, e: a + e["value"])
@@ -316,7 +316,10 @@ def map_categorical(spark, sf_dir):
     return projection.map_categorical(li(spark, sf_dir), LI_ROLES, lambda v, _: v % 10)
 
 
-@query(f"WITH {LI} SELECT id, label, i1 / 2 AS i1, i2 / 2 AS i2, i3 / 2 AS i3, i4 / 2 AS i4, c1, c2, c3 FROM li")
+@query(
+    f"""WITH {LI} SELECT id, label, i1 / 2 AS i1, i2 / 2 AS i2, i3 / 2 AS i3, i4 / 2 AS i4,
+  c1, c2, c3 FROM li"""
+)
 def map_numeric(spark, sf_dir):
     return projection.map_numeric(li(spark, sf_dir), LI_ROLES, lambda v, _: v / 2)
 

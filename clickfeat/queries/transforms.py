@@ -20,10 +20,8 @@ from clickfeat.plans.stages import (
 )
 from clickfeat.queries.frames import (
     EV,
-    EV_ROLES,
     LI,
     LI_ROLES,
-    cells,
     counts,
     ev,
     li,
@@ -193,7 +191,10 @@ _ENCODED = f"""{_LEVELS}, {_RATES}, enc AS (SELECT id, li.label, i1, i2, i3, i4,
   FROM li {_ENCODED_JOINS})"""
 
 
-@query(f"{_ENCODED} SELECT id, label, i1, i2, i3, i4, round(c1, 6) AS c1, round(c2, 6) AS c2, round(c3, 6) AS c3 FROM enc")
+@query(
+    f"{_ENCODED} SELECT id, label, i1, i2, i3, i4, "
+    "round(c1, 6) AS c1, round(c2, 6) AS c2, round(c3, 6) AS c3 FROM enc"
+)
 def target_encode(spark, sf_dir):
     frame = li(spark, sf_dir)
     encoded = encoding.target_encode(frame, LI_ROLES, encoding.fit_target_rates(frame, LI_ROLES))
