@@ -11,8 +11,13 @@ _HEX = "^[+-]?0*[0-7]?[0-9a-fA-F]{1,15}$"
 _INTEGER = "^[+-]?[0-9]+$"
 
 
-def trim_blanks(text: Column) -> Column:
-    return F.btrim(text, F.lit(_BLANKS))
+def has_controls(text: Column) -> Column:
+    return text.rlike("[\\x00-\\x1f]")
+
+
+def trim_blanks(text: Column, controls: Column) -> Column:
+    """Trim spaces, and control characters too where the text may hold any (the slower way)."""
+    return F.when(controls, F.btrim(text, F.lit(_BLANKS))).otherwise(F.trim(text))
 
 
 def _strict(text: Column, parsed: Column, kind: str) -> Column:

@@ -11,7 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.functions.text import hex_to_long, to_double, to_integer, trim_blanks
+from clickfeat.functions.text import (
+    has_controls,
+    hex_to_long,
+    to_double,
+    to_integer,
+    trim_blanks,
+)
 from clickfeat.roles import CATEGORICAL, KindGuesser, Roles, guess_kind
 
 HEADER_PREFIX = "Id"
@@ -39,12 +45,16 @@ def without_headers(lines: DataFrame) -> DataFrame:
     return lines.filter(~F.col("line").startswith(HEADER_PREFIX))
 
 
-def _cells(lines: DataFrame, width: int, prepare=lambda text: text) -> DataFrame:
+def _cells(lines: DataFrame, width: int, trim: bool = False) -> DataFrame:
     """Split each line once, then one text column per field; absent fields are blank."""
-    split = lines.select(F.split("line", ",", -1).alias("f"))
-    return split.select(
-        *[prepare(F.coalesce(F.get("f", F.lit(i)), F.lit(""))).alias(f"_{i}") for i in range(width)]
-    )
+    controls = [has_controls(F.col("line")).alias("controls")] if trim else []
+    split = lines.select(F.split("line", ",", -1).alias("f"), *controls)
+
+    def cell(i):
+        text = F.coalesce(F.get("f", F.lit(i)), F.lit(""))
+        return (trim_blanks(text, F.col("controls")) if trim else text).alias(f"_{i}")
+
+    return split.select(*[cell(i) for i in range(width)])
 
 
 def parse_typed(
@@ -52,7 +62,7 @@ def parse_typed(
 ) -> tuple[DataFrame, Roles]:
     """Trimmed fields; categorical columns are base-16 longs, the others doubles."""
     header = list(header or header_of(lines))
-    cells = _cells(without_headers(lines), len(header), trim_blanks)
+    cells = _cells(without_headers(lines), len(header), trim=True)
 
     def typed(i, name):
         text = F.col(f"_{i}")
