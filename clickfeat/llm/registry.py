@@ -1,6 +1,6 @@
 """Importing this module registers the queries of all operators here."""
 
-from clickfeat.llm import exact_dedup, quality_rules  # noqa: F401
+from clickfeat.llm import exact_dedup, packing, quality_rules, token_counts  # noqa: F401
 from clickfeat.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
