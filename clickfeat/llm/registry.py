@@ -1,6 +1,14 @@
 """Importing this module registers the queries of all operators here."""
 
-from clickfeat.llm import exact_dedup, mixing, packing, quality_rules, token_counts  # noqa: F401
+from clickfeat.llm import (  # noqa: F401
+    exact_dedup,
+    html_text,
+    mixing,
+    packing,
+    quality_rules,
+    token_counts,
+    warc,
+)
 from clickfeat.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
