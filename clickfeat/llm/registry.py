@@ -3,6 +3,7 @@
 from clickfeat.llm import (  # noqa: F401
     exact_dedup,
     html_text,
+    language_id,
     mixing,
     packing,
     quality_rules,
