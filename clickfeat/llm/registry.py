@@ -5,6 +5,7 @@ from clickfeat.llm import (  # noqa: F401
     html_text,
     language_id,
     mixing,
+    near_dedup,
     packing,
     quality_rules,
     token_counts,
