@@ -7,6 +7,7 @@ from clickfeat.llm import (  # noqa: F401
     mixing,
     near_dedup,
     packing,
+    personal_data,
     quality_rules,
     token_counts,
     warc,
