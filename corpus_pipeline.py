@@ -5,8 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickfeat.llm.common import new_path
+from clickfeat.llm.exact_dedup import drop_copies
+from clickfeat.llm.mixing import mixed
+from clickfeat.llm.near_dedup import drop_near_copies
+from clickfeat.llm.packing import pack
+from clickfeat.llm.quality_rules import clean
 
-STAGES: list = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass, without their failing lines."""
+    return clean(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal text, the one with the smallest id."""
+    return drop_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest id."""
+    return drop_near_copies(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in proportion to their weights: a row for each copy that the mix takes."""
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences, with their token ids."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 #: Packing needs a tokenizer and near-dedup a similarity join, which SQL can't express.
 ORACLE_SQL: str | None = None
