@@ -46,6 +46,14 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII text takes Spark's byte-wise path."""
     translated = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

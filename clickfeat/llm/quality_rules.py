@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import query, table
+from clickfeat.llm.common import free_name, query, table
 
 SYMBOLS = b"#*$%&|<>"
 MENU_MARKS = "|>•·»"
@@ -151,10 +151,12 @@ def line_first(
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents kept, with their failing lines removed; same columns as ``docs``."""
-    judged = line_first(docs, name="_quality").filter("_quality.kept")
-    changed = {"text": F.col("_quality.clean_text")}
+    name = free_name(docs, "_quality")
+    judged = line_first(docs, name=name).filter(F.col(name)["kept"])
+    text = F.col(name)["clean_text"]
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.char_length("_quality.clean_text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
     return judged.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
