@@ -2,7 +2,9 @@
 
 Normalised texts are range-partitioned by sampled splitters, sorted externally, and neighbours are
 compared in full (a window over the sorted text compares each row's whole text with the one before).
-DataFrame functions only.
+DataFrame functions only. The order is by leading characters, then a hash, then the whole text: so
+equal texts are neighbours, a common opening is split by the hash, and the splitters that the driver
+gathers are short however long texts are.
 
 A text whose copies fill more than half a partition is hot. Its rows are dealt to several ranges by
 a hash of their id, and the few winners of the ranges are compared in full once more. Hot texts are
@@ -17,6 +19,10 @@ from pyspark.sql import functions as F
 from clickfeat.llm.common import ascii_lower, keep, partitions, query, table
 
 
+#: Characters of a text in a splitter.
+PREFIX = 32
+
+
 def _hot_texts(docs: DataFrame, text_col: str) -> DataFrame:
     """Hash and number of ranges of each hot text: at most four rows for each shuffle partition."""
     sizes = keep(
@@ -66,9 +72,11 @@ def exact_dedup(
     dealt = rows.join(hot, "_h", "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_ranges")), F.lit(0))
     )
-    ranged = dealt.repartitionByRange("_norm", "_salt")
+    ranged = dealt.withColumn("_start", F.substring("_norm", 1, PREFIX)).repartitionByRange(
+        "_start", "_h", "_salt"
+    )
     order = F.col("_id").desc_nulls_last() if largest else F.col("_id").asc_nulls_last()
-    group = Window.partitionBy("_norm", "_salt").orderBy(order)
+    group = Window.partitionBy("_start", "_h", "_salt", "_norm").orderBy(order)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     salted = F.col("_ranges").isNotNull()
     sorted_rows = ranged.select(
