@@ -115,7 +115,7 @@ def luhn(value: Column) -> Column:
     return total % 10 == 0
 
 
-_OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
 def _octets(value: Column) -> Column:
@@ -315,27 +315,28 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def _cut_out(text: Column, mark: str):
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[redacted]") -> DataFrame:
+    """``docs`` with every base span of the text replaced by ``mark``; overlapping spans by one."""
+    text = F.col(text_col)
+    spans = [
+        F.transform(F.filter(_spans(text, BASE[kind]), _passing(kind)), _bounds(0)) for kind in KINDS
+    ]
+
     def step(so_far: Column, span: Column) -> Column:
-        before = F.substring(text, so_far["at"] + 1, span["start"] - so_far["at"])
+        gap = F.substring(text, so_far["at"] + 1, span["start"] - so_far["at"])
+        apart = F.concat(so_far["out"], gap, F.lit(mark))
         return F.struct(
-            span["end"].alias("at"), F.concat(so_far["out"], before, F.lit(mark)).alias("out")
+            F.greatest(so_far["at"], span["end"]).alias("at"),
+            F.when(span["start"] >= so_far["at"], apart).otherwise(so_far["out"]).alias("out"),
         )
 
-    return step
-
-
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[redacted]") -> DataFrame:
-    """``docs`` with all base spans in the text replaced by ``mark``, in one pass of expressions."""
-    text = F.col(text_col)
-    for kind in KINDS:
-        state = F.aggregate(
-            F.filter(_spans(text, BASE[kind]), _passing(kind)),
-            F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-            _cut_out(text, mark),
-        )
-        text = F.concat(state["out"], F.substring(text, state["at"] + 1, F.char_length(text)))
-    return docs.withColumn(text_col, text)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = lambda done: F.concat(
+        done["out"], F.substring(text, done["at"] + 1, F.char_length(text))
+    )
+    return docs.withColumn(
+        text_col, F.aggregate(F.array_sort(F.concat(*spans)), start, step, rest)
+    )
 
 
 @query()
