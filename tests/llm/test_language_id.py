@@ -1,0 +1,58 @@
+import numpy as np
+import pytest
+
+from clickfeat.llm import language_id as lid
+
+
+@pytest.fixture(scope="module")
+def model(small):
+    return lid.train(small("documents").filter(~lid.held_out()))
+
+
+def test_held_out_accuracy(small, model):
+    got = lid.identify(small("documents"), model).filter(lid.held_out()).collect()
+    right = [r["language"]["lang_pred"] == r["lang"] for r in got]
+    assert len(right) > 30 and np.mean(right) > 0.95
+
+
+def test_words():
+    assert lid.words_of("Über x²y, 12ab_c½d! 漢字") == ["über", "x", "y", "ab", "c", "d", "漢字"]
+    assert lid.words_of(None) == lid.words_of("12 ½ ... _") == []
+
+
+def test_grams_of_a_word_do_not_depend_on_its_neighbours():
+    words = ["ab", "c", "déf", "漢字"]
+    slots, owners = lid.word_grams(words)
+    for i, word in enumerate(words):
+        alone = lid.word_grams([word])[0]
+        assert sorted(alone) == sorted(slots[owners == i])
+
+
+def test_counts_add_up_over_partitions(small):
+    docs = small("documents")
+    once, parts = (lid.count_grams(d).toPandas() for d in (docs.coalesce(1), docs.repartition(5)))
+    key = ["lang", "slot"]
+    assert once.sort_values(key).reset_index(drop=True).equals(parts.sort_values(key).reset_index(drop=True))
+
+
+def test_a_mixed_document_has_both_languages(small, model):
+    by_lang = {r["lang"]: r["text"] for r in small("documents").collect()}
+    numbers = [model.languages.index(x) for x in ("de", "fr")]
+    german, french = lid.words_of(by_lang["de"])[:150], lid.words_of(by_lang["fr"])[:50]
+    shares = lid.infer(model.word_likelihoods(german + french), np.ones(len(german) + len(french)))
+    assert shares[numbers[0]] == pytest.approx(0.75, abs=0.1) and shares[numbers[1]] == pytest.approx(0.25, abs=0.1)
+    only = lid.infer(model.word_likelihoods(german), np.ones(len(german)))
+    assert only[numbers[0]] == 1.0
+
+
+def test_edges(documents, model):
+    docs = documents([(1, None), (2, ""), (3, "12 ½ !!"), (4, "a"), (4, "a"), (None, "the " * 50_000)])
+    got = lid.identify(docs, model)
+    assert got.columns == [*docs.columns, "language"]
+    rows = got.collect()
+    assert [r["language"]["lang_pred"] for r in rows if r["doc_id"] in (1, 2, 3)] == ["und"] * 3
+    assert all(0 <= r["language"]["score"] <= 1 for r in rows)
+    assert all(r["language"]["lang_pred"] in model.languages for r in rows if r["doc_id"] in (4, None))
+    assert lid.identify(documents([]), model).collect() == []
+    empty = lid.train(documents([(1, "text")]))
+    assert lid.identify(docs, empty).first()["language"]["lang_pred"] == "und"
