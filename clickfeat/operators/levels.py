@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from clickfeat.operators.ordering import bucket_totals, number_rows, store_in_order
 from clickfeat.roles import Roles
@@ -33,6 +33,9 @@ def level_counts(
     label counts as 0.
     """
     names = list(columns or (((roles.id,) if include_id else ()) + roles.categorical))
+    broken = [c for c in names if isinstance(df.schema[c].dataType, (FloatType, DoubleType))]
+    if broken:
+        raise TypeError(f"levels are whole numbers, but these columns are fractional: {broken}")
     label = [F.coalesce(F.col(roles.label).cast("bigint"), F.lit(0)).alias("_label")]
     cells = df.select(
         *(label if by_label else []), *[F.col(c).cast("bigint").alias(c) for c in names]

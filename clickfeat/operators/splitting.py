@@ -20,6 +20,8 @@ def hash_bucket(key: Column, seed: int = 0, buckets: int = BUCKETS) -> Column:
 def part_of(key: Column, weights: Sequence[float], seed: int = 0) -> Column:
     """The number of the part a key falls into. Weights need not sum to 1."""
     ends = [round(BUCKETS * end / sum(weights)) for end in accumulate(weights)]
+    if any(w > 0 and a == b for w, a, b in zip(weights, [0, *ends], ends)):
+        raise ValueError(f"a part below 1/{BUCKETS} of the rows can't be split off: {weights}")
     bucket = hash_bucket(key, seed)
     part = F.lit(len(weights) - 1)
     for i in reversed(range(len(weights) - 1)):
@@ -35,9 +37,19 @@ def split_hash(
     return [df.filter(part == i) for i in range(len(weights))]
 
 
+def random_part(columns: Sequence[str], weights: Sequence[float], seed: int) -> Column:
+    """The part of a row by a seeded hash of its own values: the same on every run and cluster.
+
+    One expression, so a single pass tags all parts and nothing is sorted. Equal rows go together.
+    """
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return part_of(F.concat_ws("|", *cells), weights, seed)
+
+
 def split_random(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Spark's random split: row by row, dependent on the partitioning of the input."""
-    return df.randomSplit(list(weights), seed)
+    """Random parts by the values of whole rows."""
+    part = random_part(df.columns, weights, seed)
+    return [df.filter(part == i) for i in range(len(weights))]
 
 
 def split_counts(df: DataFrame, key: str, weights: Sequence[float], seed: int = 0) -> DataFrame:

@@ -32,6 +32,12 @@ def _typed(spark: SparkSession, source: str):
     return store(df, "typed"), roles
 
 
+def _nullable_integers(spark: SparkSession, source: str, **options):
+    """The same for a nullable-integer CSV."""
+    df, roles = parse_nullable_integers(read_lines(spark, source), **options)
+    return store(df, "integers"), roles
+
+
 def summarise_csv(spark: SparkSession, source: str, out: str | None = None) -> DataFrame:
     """Column summary of a typed CSV, saved as parquet if asked."""
     df, roles = parse_typed(read_lines(spark, source))
@@ -57,6 +63,9 @@ def csv_to_vw(
     if saved_summary:
         rows = spark.read.parquet(saved_summary).filter(F.col("col").isin(*roles.numeric)).collect()
         bounds = {r["col"]: (r["min"], r["max"]) for r in rows}
+        missing = [c for c in roles.numeric if c not in bounds]
+        if missing:
+            raise ValueError(f"the saved summary has no statistics of {missing}")
     else:
         bounds = summary.bounds_of(df, roles.numeric)
     write_lines(scaling.scale_log_minmax(df, bounds), vw_line(roles), out, files)
@@ -96,17 +105,20 @@ def apply_target_rates(spark: SparkSession, source: str, state: str, out: str) -
 
 
 def fill_means(spark: SparkSession, source: str, out: str) -> None:
-    """Fill a headerless numeric CSV with column means."""
-    lines = read_lines(spark, source)
-    first = lines.first()
-    width = len(first["line"].rstrip(",").split(",")) if first else 0
+    """Fill a headerless numeric CSV with column means. The longest line gives the columns."""
+    lines = store(read_lines(spark, source), "lines")
+    fields = F.size(F.split(F.rtrim("line", F.lit(",")), ",", -1))
+    width = lines.agg(F.max(fields)).first()[0] or 0
+    # Fields that a shorter line doesn't have are missing.
+    padded = F.concat(F.rtrim("line", F.lit(",")), F.repeat(F.lit(",null"), F.lit(width) - fields))
+    lines = lines.select(padded.alias("line"))
     df = parse_numbers(lines, [f"n{i}" for i in range(width)])
     write_lines(fill_column_mean(df), csv_line(df.columns), out)
 
 
 def encode_and_fill(spark: SparkSession, source: str, out: str, rates_out: str) -> None:
     """Target encoding and column-mean fill in one job, to separate folders."""
-    df, roles = parse_nullable_integers(read_lines(spark, source))
+    df, roles = _nullable_integers(spark, source)
     rates = encoding.fit_target_rates(df, roles)
     _write_rates(rates, rates_out)
     encoded = encoding.as_doubles(encoding.target_encode(df, roles, rates))
@@ -114,7 +126,7 @@ def encode_and_fill(spark: SparkSession, source: str, out: str, rates_out: str)
 
 
 def fit_imputer(spark: SparkSession, source: str, state: str) -> None:
-    df, roles = parse_nullable_integers(read_lines(spark, source), integer="bigint")
+    df, roles = _nullable_integers(spark, source, integer="bigint")
     Stages([Impute()]).fit(df, roles).save(spark, state)
 
 
@@ -129,7 +141,7 @@ def apply_imputer(spark: SparkSession, source: str, state: str, out: str) -> Non
 
 
 def split_lines(
-    spark: SparkSession, source: str, out_1: str, out_2: str, files: int | None = 1,
+    spark: SparkSession, source: str, out_1: str, out_2: str, files: int | None = None,
     seed: int = 100,
 ) -> None:
     """Split a text file .85/.15 at random, without header lines."""
@@ -146,7 +158,7 @@ def _train(df: DataFrame, key: str, label: str, training, weights, seed):
 
 def train_and_score(spark: SparkSession, source: str) -> DataFrame:
     """Logistic regression on the first two numeric features; log loss of both parts."""
-    df, roles = parse_typed(read_lines(spark, source))
+    df, roles = _typed(spark, source)
     columns = roles.numeric[:2]
     scaled = scaling.scale_minmax_filled(df, summary.bounds_of(df, columns))
     label = recode_label(F.col(roles.label), F.col(roles.label) > 0, 1.0, 0.0)
@@ -163,13 +175,17 @@ def train_and_score(spark: SparkSession, source: str) -> DataFrame:
 
 
 def train_dictionary(
-    spark: SparkSession, source: str, limit: int = assembling.ONEHOT_LIMIT
+    spark: SparkSession, source: str, limit: int | None = None
 ) -> tuple[logistic.LogisticRegressionModel, DataFrame]:
-    """Logistic regression on numbers and one-hot levels; precision and recall on the test part."""
-    df, roles = parse_nullable_integers(read_lines(spark, source))
+    """Logistic regression on numbers and one-hot levels; precision and recall on the test part.
+
+    ``limit`` leaves out columns of at least so many levels.
+    """
+    df, roles = _nullable_integers(spark, source)
     counts = LevelTable.keep(level_counts(df, roles, keep_missing=False))
     dictionary = counts.numbered(per_column=True)
-    width = len(roles.numeric) + sum(n for n in dictionary.rows.values() if n < limit)
+    offsets = assembling.onehot_offsets(roles, dictionary.rows, limit)
+    width = len(roles.numeric) + sum(dictionary.rows[c] for c in offsets)
     entries = assembling.assemble_onehot(df, roles, dictionary, limit)
     return _train_entries(entries, roles, width, logistic.NUMBERS)
 
@@ -181,7 +197,7 @@ def train_hashed(
 
     The trainer keeps dense weights, so its slots are fewer than the hashed layout allows.
     """
-    df, roles = parse_nullable_integers(read_lines(spark, source))
+    df, roles = _nullable_integers(spark, source)
     entries = assembling.hash_features(df, roles, bits=bits)
     return _train_entries(entries, roles, assembling.HASH_BASE + (1 << bits), logistic.HASHED)
 
@@ -191,8 +207,9 @@ def _train_entries(df, roles, width, training):
     rows = df.select(
         roles.id,
         label.alias("label"),
-        logistic.sparse_vector(F.col(assembling.ENTRIES), width).alias("features"),
+        logistic.sparse_fields(F.col(assembling.ENTRIES), width).alias("features"),
     )
+    rows = logistic.store_sparse(rows)
     model, (_, test) = _train(rows, roles.id, "label", training, [0.8, 0.2], 10)
     return model, precision_recall(logistic.score(test, model), "p_class", "label")
 
@@ -206,8 +223,9 @@ def train_indexed(spark: SparkSession, source: str, seed: int = 3334) -> DataFra
     rows = entries.select(
         roles.id,
         recode_label(F.col(roles.label), F.col(roles.label) > 0, 1.0, 0.0).alias("label"),
-        logistic.sparse_vector(F.col(assembling.ENTRIES), width).alias("features"),
+        logistic.sparse_fields(F.col(assembling.ENTRIES), width).alias("features"),
     )
+    rows = logistic.store_sparse(rows)
     model, (_, test) = _train(rows, roles.id, "label", logistic.INDEXED, [0.75, 0.25], seed)
     return logistic.score(test, model).agg(log_loss(eps=1e-5).alias("loss"))
 

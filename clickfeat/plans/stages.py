@@ -49,12 +49,19 @@ class Known:
 
     def counts(self) -> LevelTable:
         """Level counts of the categorical features, missing included."""
+        if not self.roles.categorical:
+            raise ValueError("no categorical features: target encoding has made them numbers")
         if self._counts is None:
             self._counts = LevelTable.keep(level_counts(self.df, self.roles))
         return self._counts
 
     def advance(self, fitted: Fitted) -> None:
         self.df = fitted.transform(self.df)
+        if isinstance(fitted, FittedRates):
+            # Label means are numbers: later stages take these columns as numeric features.
+            numeric = (*self.roles.numeric, *self.roles.categorical)
+            self.roles = Roles(self.roles.id, self.roles.label, numeric, ())
+            self._corners = None
         if fitted.numeric and self._corners is not None:
             self._corners = fitted.transform(self._corners) if fitted.monotone else None
         if fitted.categorical:
@@ -92,7 +99,9 @@ class FittedFill(Fitted):
     value: float = 0.0
 
     def transform(self, df):
-        return scaling.fill_constant(df, (self.roles.label, *self.roles.numeric), self.value)
+        # New data needs no label.
+        label = [c for c in (self.roles.label,) if c in df.columns]
+        return scaling.fill_constant(df, (*label, *self.roles.numeric), self.value)
 
     def state(self):
         return {"value": self.value}
@@ -196,7 +205,8 @@ class Impute:
     def fit(self, known: Known) -> Fitted:
         values: dict = means_of(known.df, (known.roles.label, *known.roles.numeric))
         values.update(dict.fromkeys(known.roles.categorical))
-        values.update(known.counts().modes())
+        if known.roles.categorical:
+            values.update(known.counts().modes())
         return FittedImpute(known.roles, values)
 
 
@@ -248,6 +258,9 @@ class FittedStages:
     stages: list[Fitted]
 
     def transform(self, df: DataFrame) -> DataFrame:
+        missing = [c for c in self.roles.features if c not in df.columns]
+        if missing:
+            raise ValueError(f"features that the stages were fitted on are missing: {missing}")
         for stage, after in zip(self.stages, [*self.stages[1:], None]):
             # The index holds the frequent levels only, so it drops the others by itself.
             if isinstance(stage, FittedFrequent) and isinstance(after, FittedIndex):

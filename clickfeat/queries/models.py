@@ -151,12 +151,11 @@ def logreg_fit_hashed(spark, sf_dir):
     )
     width = assembling.HASH_BASE + (1 << bits)
     entries = assembling.hash_features(scaled, LI_ROLES, bits=bits)
-    rows = entries.select(
-        "label", logistic.sparse_vector(F.col("entries"), width).alias("features")
+    rows = logistic.store_sparse(
+        entries.select("label", logistic.sparse_fields(F.col("entries"), width).alias("features"))
     )
     model = logistic.fit(rows, logistic.HASHED)
-    names = [f"slot_{i}" for i in range(width)]
-    return logistic.coefficients(model, rows, names).filter(F.col("weight") != 0)
+    return logistic.coefficients(model, rows, lambda slot: f"slot_{slot}").filter("weight <> 0")
 
 
 @query()

@@ -10,7 +10,7 @@ from clickfeat.operators.assembling import assemble_sparse as assemble
 from clickfeat.operators.encoding import fit_target_rates, index_levels
 from clickfeat.operators.levels import LevelTable, level_counts
 from clickfeat.operators.ordering import number_rows, store_in_order
-from clickfeat.operators.splitting import split_random
+from clickfeat.operators.splitting import random_part
 from clickfeat.operators.summary import level_cardinality
 from clickfeat.plans.stages import FittedStages, Impute, IndexLevels, Stages
 from clickfeat.queries.frames import (
@@ -68,14 +68,18 @@ def typed_lines(spark, sf_dir):
     return _with_headers(spark, sf_dir, lines, TYPED_HEADER)
 
 
-@query(
-    f"""WITH {EV}, lines AS (
+_TYPED_LINES_SQL = f"""WITH {EV}, all_lines AS (
   SELECT rtrim(concat_ws(',', lower(to_hex(id)), CAST(label AS VARCHAR),
     ' ' || COALESCE(CAST(i1 AS VARCHAR), ''), COALESCE(CAST(i2 AS VARCHAR), '') || ' ',
     COALESCE(CAST(i3 AS VARCHAR), ''), COALESCE(lower(to_hex(c1)), ''),
     COALESCE(lower(to_hex(c2)), ''), COALESCE(c3_hex, '')), ',') AS line FROM ev
   UNION ALL SELECT '{TYPED_HEADER}' FROM region),
-f AS (SELECT string_split(line, ',') AS f FROM lines WHERE line NOT LIKE 'Id%')
+lines AS (SELECT line FROM all_lines WHERE line NOT LIKE 'Id%')"""
+
+
+@query(
+    f"""{_TYPED_LINES_SQL},
+f AS (SELECT string_split(line, ',') AS f FROM lines)
 SELECT ('0x' || NULLIF(trim(f[1]), ''))::BIGINT AS "Id",
   CAST(NULLIF(trim(f[2]), '') AS DOUBLE) AS "Label",
   CAST(NULLIF(trim(f[3]), '') AS DOUBLE) AS "I1", CAST(NULLIF(trim(f[4]), '') AS DOUBLE) AS "I2",
@@ -132,23 +136,17 @@ def src_numeric_csv(spark, sf_dir):
 
 
 @query(
-    """SELECT CAST(label AS DOUBLE) AS label, len(embedding) AS width,
-  CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[64] AS DOUBLE) AS last,
-  round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total
+    """SELECT CAST(label AS DOUBLE) AS label,
+  array_to_string([CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT) FOR x IN embedding], ' ') AS millionths
 FROM embeddings"""
 )
 def src_labeled_dense(spark, sf_dir):
+    """Every feature, in millionths."""
     texts = F.transform("embedding", lambda x: x.cast("double").cast("string"))
     line = F.concat_ws(",", F.col("label").cast("double").cast("string"), texts)
     dense = parse_labelled_dense(table(spark, sf_dir, "embeddings").select(line.alias("line")))
-    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
-    return dense.select(
-        "label",
-        F.size("features").cast("bigint").alias("width"),
-        F.get("features", F.lit(0)).alias("first"),
-        F.get("features", F.lit(63)).alias("last"),
-        F.round(total, 6).alias("total"),
-    )
+    millionths = F.transform("features", lambda x: F.round(x * 1000000).cast("bigint").cast("string"))
+    return dense.select("label", F.array_join(millionths, " ").alias("millionths"))
 
 
 @query(
@@ -272,12 +270,14 @@ def assemble_sparse(spark, sf_dir):
     )
 
 
-@query()
+@query(
+    f"""{_TYPED_LINES_SQL} SELECT line, CASE WHEN ('0x' || substr(md5('100:' || line), 1, 8))::BIGINT
+  % 10000 < 8500 THEN 1 ELSE 2 END AS part FROM lines"""
+)
 def split_lines(spark, sf_dir):
     """Lines without headers, split .85/.15 at random (seed 100)."""
-    parts = split_random(without_headers(typed_lines(spark, sf_dir)), [0.85, 0.15], 100)
-    tagged = [part.withColumn("part", F.lit(i + 1)) for i, part in enumerate(parts)]
-    return tagged[0].unionByName(tagged[1])
+    lines = without_headers(typed_lines(spark, sf_dir))
+    return lines.withColumn("part", random_part(["line"], [0.85, 0.15], 100) + 1)
 
 
 @query(f"WITH {LI} SELECT id, label, i2, i4, c2 FROM li")
@@ -285,6 +285,11 @@ def project_by_index(spark, sf_dir):
     return projection.project_by_index(li(spark, sf_dir), lambda i: i < 2 or i % 2 == 1)
 
 
+@query(f"WITH {LI} SELECT id, i1, c3 FROM li")
+def project_by_index_set(spark, sf_dir):
+    return projection.project_by_index(li(spark, sf_dir), {0, 2, 8})
+
+
 @query(f"WITH {LI} SELECT c1, c2, c3 FROM li")
 def project_by_kind(spark, sf_dir):
     return projection.project_by_kind(
@@ -324,6 +329,15 @@ def map_numeric(spark, sf_dir):
     return projection.map_numeric(li(spark, sf_dir), LI_ROLES, lambda v, _: v / 2)
 
 
+@query(
+    f"""WITH {LI} SELECT id, label + 1.0::DOUBLE AS label, i1 + 1 AS i1, i2 + 1 AS i2, i3 + 1 AS i3,
+  i4 + 1 AS i4, c1, c2, c3 FROM li"""
+)
+def map_numeric_and_label(spark, sf_dir):
+    plus = lambda v, _: v + F.lit(1.0)
+    return projection.map_numeric(li(spark, sf_dir), LI_ROLES, plus, with_label=True)
+
+
 _PRESENT = " UNION ALL ".join(
     f"SELECT '{c}' AS col, count({c}) AS present, count(*) - count({c}) AS missing FROM li"
     for c in LI_ROLES.columns

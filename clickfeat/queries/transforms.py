@@ -10,6 +10,7 @@ from clickfeat.operators.levels import LevelTable
 from clickfeat.operators.levels import level_counts as count_levels
 from clickfeat.plans.stages import (
     DropRareLevels,
+    EncodeTarget,
     FillMissing,
     FittedStages,
     Impute,
@@ -262,10 +263,10 @@ def stages_apply_new(spark, sf_dir):
     return rounded(fitted.transform(frame), *_NUMERIC)
 
 
-@query(
-    f"""{_LEVELS}, dict AS (SELECT pos, col, value,
+def _onehot_sql(having: str) -> str:
+    return f"""{_LEVELS}, dict AS (SELECT pos, col, value,
   row_number() OVER (PARTITION BY col ORDER BY value) - 1 AS idx FROM lc),
-sizes AS (SELECT pos, col, count(*) AS size FROM lc GROUP BY pos, col HAVING count(*) < 1000),
+sizes AS (SELECT pos, col, count(*) AS size FROM lc GROUP BY pos, col HAVING {having}),
 offs AS (SELECT col, 4 + sum(size) OVER (ORDER BY pos) - size AS start FROM sizes),
 slots AS (SELECT d.col, d.value, CAST(o.start + d.idx AS BIGINT) AS slot
   FROM dict d JOIN offs o ON o.col = d.col)
@@ -274,11 +275,23 @@ SELECT id, (CASE WHEN label > 0 THEN '1' ELSE '-1' END) || ' | ' || concat_ws('
   c.slot || ':1.0') AS line FROM li
 LEFT JOIN slots a ON a.col = 'c1' AND a.value = c1 LEFT JOIN slots b ON b.col = 'c2' AND b.value = c2
 LEFT JOIN slots c ON c.col = 'c3' AND c.value = c3"""
-)
+
+
+@query(_onehot_sql("count(*) < 1000"))
 def onehot_offsets(spark, sf_dir):
+    """Columns below 1000 levels."""
+    return _onehot(spark, sf_dir, 1000)
+
+
+@query(_onehot_sql("TRUE"))
+def onehot_all_columns(spark, sf_dir):
+    return _onehot(spark, sf_dir, None)
+
+
+def _onehot(spark, sf_dir, limit):
     frame = li(spark, sf_dir)
     dictionary = _kept(spark, sf_dir, keep_missing=False).numbered(per_column=True)
-    assembled = assembling.assemble_onehot(frame, LI_ROLES, dictionary)
+    assembled = assembling.assemble_onehot(frame, LI_ROLES, dictionary, limit)
     line = sparse_line(F.col("label"), F.col("entries"))
     return assembled.select("id", line.alias("line"))
 
@@ -350,9 +363,33 @@ def split_hash(spark, sf_dir):
     return li(spark, sf_dir).select("id", "c1", part.alias("part"))
 
 
-@query()
+_SPLIT_BY = ("id", "label", "c1", "c2", "c3")
+
+
+@query(
+    f"""WITH {LI} SELECT *, CASE WHEN ('0x' || substr(md5('1:' || concat_ws('|',
+  {", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _SPLIT_BY)})), 1, 8))::BIGINT
+  % 10000 < 8000 THEN 0 ELSE 1 END AS part FROM li"""
+)
 def split_random(spark, sf_dir):
     """A random split .8/.2 (seed 1), every row with its part."""
-    parts = splitting.split_random(li(spark, sf_dir), [0.8, 0.2], 1)
-    tagged = [part.withColumn("part", F.lit(i)) for i, part in enumerate(parts)]
-    return tagged[0].unionByName(tagged[1])
+    part = splitting.random_part(_SPLIT_BY, [0.8, 0.2], 1)
+    return li(spark, sf_dir).withColumn("part", part)
+
+
+@query(
+    f"{_ENCODED} SELECT id, label, "
+    + ", ".join(
+        f"round(CASE WHEN hi_{c} > lo_{c} THEN ({c} - lo_{c}) / (hi_{c} - lo_{c}) END, 6) AS {c}"
+        for c in LI_ROLES.categorical
+    )
+    + " FROM enc, (SELECT "
+    + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in LI_ROLES.categorical)
+    + " FROM enc)"
+)
+def stages_encode_then_scale(spark, sf_dir):
+    """Label means are numeric features for the stage after."""
+    frame = li(spark, sf_dir)
+    scaled = Stages([EncodeTarget(), Scale("minmax")]).fit_transform(frame, LI_ROLES)
+    rates = scaled.select("id", "label", *LI_ROLES.categorical)
+    return rounded(rates, *LI_ROLES.categorical)

@@ -80,7 +80,24 @@ def test_split_lines(spark, source, tmp_path):
     jobs.split_lines(spark, source, str(tmp_path / "x_1"), str(tmp_path / "x_2"))
     one, two = read(tmp_path / "x_1"), read(tmp_path / "x_2")
     assert len(one) + len(two) == 300 and len(set(one) | set(two)) == 300
-    assert len(list((tmp_path / "x_1").glob("part-*"))) == 1
+    jobs.split_lines(spark, source, str(tmp_path / "y_1"), str(tmp_path / "y_2"), files=1)
+    assert len(list((tmp_path / "y_1").glob("part-*"))) == 1
+    assert read(tmp_path / "y_1") == one
+
+
+def test_mean_fill_keeps_every_field_of_ragged_lines(spark, tmp_path):
+    (tmp_path / "in").write_text("1,2\n3,null,5\n5,4,7,9\n")
+    jobs.fill_means(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    lines = read(tmp_path / "out")
+    assert "5.0,4.0,7.0,9.0" in lines and all(line.count(",") == 3 for line in lines)
+
+
+def test_a_saved_summary_without_a_column_is_refused(spark, source, tmp_path):
+    jobs.summarise_csv(spark, source, str(tmp_path / "summary"))
+    short = spark.read.parquet(str(tmp_path / "summary")).filter("col <> 'I1'")
+    short.write.parquet(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="statistics"):
+        jobs.csv_to_vw(spark, source, str(tmp_path / "vw"), str(tmp_path / "short"))
 
 
 def test_training_jobs(spark, source, tmp_path):

@@ -41,13 +41,19 @@ def test_training_recovers_weights_and_beats_the_base_rate(labelled):
 
 def test_sparse_vectors_train_like_dense_ones(labelled):
     entries = assembling.assemble_sparse(labelled, Roles("id", "label", ("a", "b"), ()))
-    sparse = entries.select(
-        "label", logistic.sparse_vector(F.col("entries"), 2).alias("features")
+    sparse = logistic.store_sparse(
+        entries.select("label", logistic.sparse_fields(F.col("entries"), 2).alias("features"))
     )
     a, b = (logistic.fit(df, logistic.SCALED) for df in (labelled, sparse))
     assert list(a.coefficients) == pytest.approx(list(b.coefficients), abs=1e-6)
 
 
+def test_weights_that_are_not_zero(labelled):
+    model = logistic.fit(labelled, logistic.SCALED)
+    rows = logistic.coefficients(model, labelled, lambda i: f"x{i}").collect()
+    assert [r["feature"] for r in rows] == ["x0", "x1", "(intercept)"]
+
+
 def test_repeated_holdout(labelled):
     losses = logistic.repeated_holdout(labelled, "id", logistic.NUMBERS, repeats=2).collect()
     assert [r["seed"] for r in losses] == [1, 2]

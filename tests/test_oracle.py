@@ -49,6 +49,7 @@ def test_random_splits_keep_every_row(spark):
 
     parts = contract.queries()["split_random"](spark, str(DATA))
     assert parts.count() == li(spark, str(DATA)).count()
+    assert "Sort" not in parts._jdf.queryExecution().executedPlan().toString()
     counts = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
     assert 0.75 < counts[0] / sum(counts.values()) < 0.85
 

@@ -86,3 +86,25 @@ def test_state_without_any_level(spark, clicks):
     fitted.save(spark, path)
     loaded = FittedStages.load(spark, path).transform(df)
     assert rows_of(loaded, "id", "c1") == [(1, 7.0), (2, 7.0), (3, 3.0), (3, 3.0), (5, None)]
+
+
+def test_rates_are_numbers_for_later_stages(clicks):
+    from clickfeat.plans.stages import EncodeTarget, IndexLevels, Scale, Stages
+
+    df, roles = clicks
+    scaled = Stages([EncodeTarget(), Scale("minmax")]).fit_transform(df, roles)
+    rates = sorted({r["c2"] for r in scaled.collect() if r["c2"] is not None})
+    assert rates[0] == 0.0 and rates[-1] == 1.0
+    with pytest.raises(ValueError, match="no categorical"):
+        Stages([EncodeTarget(), IndexLevels()]).fit(df, roles)
+
+
+def test_fitted_stages_apply_without_a_label(clicks):
+    from clickfeat.plans.stages import default_stages
+
+    df, roles = clicks
+    fitted = default_stages(more_than=0).fit(df, roles)
+    whole = rows_of(fitted.transform(df).drop("label"))
+    assert rows_of(fitted.transform(df.drop("label"))) == whole
+    with pytest.raises(ValueError, match="n1"):
+        fitted.transform(df.drop("n1"))

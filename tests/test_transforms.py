@@ -135,6 +135,8 @@ def test_onehot_skips_large_columns_and_unseen_levels(clicks):
     dictionary = LevelTable.keep(level_counts(df, roles)).numbered(per_column=True)
     assert assembling.onehot_offsets(roles, dictionary.rows) == {"c1": 3, "c2": 5}
     assert assembling.onehot_offsets(roles, dictionary.rows, limit=3) == {"c1": 3}
+    assert assembling.onehot_left_out(roles, dictionary.rows, 3) == ["c2"]
+    assert assembling.onehot_left_out(roles, dictionary.rows, None) == []
     new = df.filter("id = 1").withColumn("c2", F.lit(77).cast("bigint"))
     entries = assembling.assemble_onehot(new, roles, dictionary).first()["entries"]
     assert [tuple(e) for e in entries] == [(0, 2.0), (1, 5.0), (4, 1.0)]
@@ -151,3 +153,18 @@ def test_hash_split_is_a_partition_and_stable(spark):
     assert rows_of(other[1]) != rows_of(parts[1])
     row = splitting.split_counts(df, "id", [0.75, 0.25], seed=3).first()
     assert tuple(row) == (5000, *sizes)
+
+
+def test_a_part_too_small_to_split_off_is_refused():
+    from clickfeat.operators.splitting import part_of
+
+    with pytest.raises(ValueError, match="split off"):
+        part_of(F.lit(1), [0.99999, 0.00001])
+
+
+def test_level_counts_refuse_fractions(clicks):
+    from clickfeat.operators.levels import level_counts
+
+    df, roles = clicks
+    with pytest.raises(TypeError, match="c1"):
+        level_counts(df.withColumn("c1", F.lit(0.5)), roles)
