@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from clickfeat.functions.numeric import recode_label
 from clickfeat.models import evaluation, logistic
 from clickfeat.models.bayes import NaiveBayes, scores_above
 from clickfeat.operators import assembling, scaling, summary
+from clickfeat.operators.levels import LevelTable, level_counts
 from clickfeat.queries.frames import LI, LI_ROLES, counts, li, query, rounded, table
+from clickfeat.roles import Roles
 
 # Fixed weights for the scoring queries.
 WEIGHTS = {"i2": 0.00001, "i4": -3.5, "c3": 0.05}
@@ -173,3 +177,44 @@ def logreg_fit_dense(spark, sf_dir):
 def repeated_holdout(spark, sf_dir):
     """Log loss of three hold-out splits, on both parts."""
     return logistic.repeated_holdout(_dense(spark, sf_dir), "id", logistic.SCALED, repeats=3)
+
+
+EXACT = 1e-10
+
+
+def _optimal(rows, training, names):
+    """Whether the gradient vanishes, for every weight that is trained."""
+    model = logistic.fit(rows, training)
+    slopes = logistic.gradient(rows, model, names)
+    if not training.intercept:
+        slopes = slopes.filter("feature <> '(intercept)'")
+    return slopes.select("feature", (F.abs("gradient") < 1e-5).alias("optimal"))
+
+
+@query("SELECT unnest(['i1', 'i2', 'i3', 'i4', '(intercept)']) AS feature, TRUE AS optimal")
+def logreg_optimal(spark, sf_dir):
+    """The weights on the scaled numeric features are a minimum of the loss."""
+    training = replace(logistic.SCALED, tolerance=EXACT)
+    return _optimal(_dense(spark, sf_dir), training, LI_ROLES.numeric)
+
+
+@query(
+    f"""WITH {LI} SELECT 'c3=' || c3 AS feature,
+  round(ln(sum(label) / (count(*) - sum(label))), 3) AS weight FROM li GROUP BY c3"""
+)
+def logreg_fit_onehot(spark, sf_dir):
+    """Weights on one-hot levels without intercept: the log-odds of each level."""
+    roles = Roles("id", "label", (), ("c3",))
+    frame = li(spark, sf_dir).select("id", "label", "c3")
+    dictionary = LevelTable.keep(level_counts(frame, roles, keep_missing=False)).numbered(
+        per_column=True
+    )
+    entries = assembling.assemble_onehot(frame, roles, dictionary)
+    width = dictionary.rows["c3"]
+    rows = logistic.store_sparse(
+        entries.select("label", logistic.sparse_fields(F.col("entries"), width).alias("features"))
+    )
+    model = logistic.fit(rows, replace(logistic.NUMBERS, tolerance=EXACT))
+    names = dictionary.frame.filter("col = 'c3'").select("value", "idx").orderBy("idx").collect()
+    weights = logistic.coefficients(model, rows, [f"c3={r['value']}" for r in names])
+    return rounded(weights.filter("feature <> '(intercept)'"), "weight", digits=3)
