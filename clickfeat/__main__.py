@@ -8,6 +8,7 @@ import inspect
 from pyspark.sql import DataFrame, SparkSession
 
 from clickfeat.plans import jobs
+from clickfeat.workspace import release
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -21,7 +22,7 @@ def _parser() -> argparse.ArgumentParser:
                 command.add_argument(arg)
             elif isinstance(spec.default, float):
                 command.add_argument(f"--{arg.replace('_', '-')}", type=float, default=spec.default)
-            elif isinstance(spec.default, int) or arg == "files":
+            elif isinstance(spec.default, int) or arg in ("files", "limit"):
                 command.add_argument(f"--{arg.replace('_', '-')}", type=int, default=spec.default)
             else:
                 command.add_argument(f"--{arg.replace('_', '-')}", default=spec.default)
@@ -32,12 +33,15 @@ def main(argv: list[str] | None = None) -> None:
     args = vars(_parser().parse_args(argv))
     job = getattr(jobs, args.pop("job").replace("-", "_"))
     spark = SparkSession.builder.appName("clickfeat").getOrCreate()
-    result = job(spark, **args)
-    for part in result if isinstance(result, tuple) else (result,):
-        if isinstance(part, DataFrame):
-            part.show(100, truncate=False)
-        elif part is not None:
-            print(part)
+    try:
+        result = job(spark, **args)
+        for part in result if isinstance(result, tuple) else (result,):
+            if isinstance(part, DataFrame):
+                part.show(100, truncate=False)
+            elif part is not None:
+                print(part)
+    finally:
+        release(spark)  # what the job has kept for itself
 
 
 if __name__ == "__main__":
