@@ -2,8 +2,10 @@
 
 DataFrame functions only; the trees are Spark's own. Fixed base rules give spans that always stay.
 Wider generators propose overlapping candidates: other spellings of the same kinds. Candidates that
-match a base rule's pattern are labelled by whether they pass its check, and all of them train the
-trees, counted by distinct features, so that the table the trees read does not grow with the corpus.
+match a base rule's pattern are labelled by whether they pass its check; of each that passes, a spoiled
+copy (a wrong check digit, a number out of range, too few digits, no domain) in the same context is
+labelled false, since texts hold few near misses. All of them train the trees, counted by distinct
+features, so that the table the trees read does not grow with the corpus.
 A fold of documents is held out; the threshold of a kind is the least score at which the fold's
 candidates are right often enough. Kinds whose fold is too small to tell add nothing.
 
@@ -197,6 +199,36 @@ def _candidate(kind: str):
     return described
 
 
+def _spoiled(kind: str, value: Column) -> Column:
+    """A span's text changed so that it fails the kind's check."""
+    if kind == "email":
+        return F.regexp_replace(value, "@.*$", "@host")
+    if kind == "ip":
+        return F.regexp_replace(value, "^[0-9]++", "355")
+    if kind == "phone":
+        return F.left(value, F.lit(6))
+    last = F.translate(F.right(value, F.lit(1)), "0123456789", "1234567890")
+    return F.concat(F.left(value, F.char_length(value) - 1), last)
+
+
+def _near_miss(kind: str):
+    def described(span: Column) -> Column:
+        spoiled = F.struct(
+            _spoiled(kind, span["value"]).alias("value"),
+            span["prior"].alias("prior"),
+            span["next"].alias("next"),
+        )
+        return F.struct(
+            F.lit(KINDS.index(kind)).alias("kind_no"),
+            span["start"].alias("start"),
+            span["end"].alias("end"),
+            F.lit(0.0).alias("label"),
+            _features(kind, spoiled).alias("features"),
+        )
+
+    return described
+
+
 def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_row, _id, base, candidates`` of each row, in one scan; text is not kept."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -204,7 +236,9 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for number, kind in enumerate(KINDS):
         present = text.rlike(TRIGGERS[kind])
         raw = F.when(present, _spans(text, BASE[kind])).otherwise(F.expr(f"cast(array() as {_SPAN})"))
-        base.append(F.transform(F.filter(raw, _passing(kind)), _bounds(number)))
+        good = F.filter(raw, _passing(kind))
+        base.append(F.transform(good, _bounds(number)))
+        wide.append(F.transform(good, _near_miss(kind)))
         more = F.when(present, _spans(text, GENERATORS[kind])).otherwise(
             F.expr(f"cast(array() as {_SPAN})")
         )
