@@ -72,5 +72,14 @@ def target_encode(
     return replace_levels(df, roles, rates, "rate", others[unseen], **kw)
 
 
+def rate_means(rates: LevelTable) -> dict[str, float]:
+    """The mean of every encoded column of the table the rates were fitted on.
+
+    From the level table: the rows themselves need not be encoded for it. One row per column.
+    """
+    sums = rates.frame.groupBy("col").agg((F.sum("label_sum") / F.sum("n")).alias("mean"))
+    return {r["col"]: float(r["mean"]) for r in sums.collect()}
+
+
 def as_doubles(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in df.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.roles import Roles
+from clickfeat.roles import Roles, resolve
 
 ColumnMap = Callable[[Column, str], Column]
 
@@ -29,6 +29,11 @@ def project_by_name(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c in names])
 
 
+def project_by_reference(df: DataFrame, references: Iterable[int | str]) -> DataFrame:
+    """Columns by position or name, in the order given; unknown ones raise."""
+    return df.select(*[resolve(df, r) for r in references])
+
+
 def map_rows(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """A row map: every output column is an expression over the row."""
     return df.select(*[value.alias(name) for name, value in columns.items()])

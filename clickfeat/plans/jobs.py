@@ -11,7 +11,7 @@ from clickfeat.models import logistic
 from clickfeat.models.bayes import POOL_BELOW, NaiveBayes, scores_above
 from clickfeat.models.evaluation import log_loss, precision_recall
 from clickfeat.operators import assembling, encoding, scaling, splitting, summary
-from clickfeat.operators.imputing import fill_column_mean
+from clickfeat.operators.imputing import fill_column_mean, fill_values
 from clickfeat.operators.levels import LevelTable, level_counts
 from clickfeat.plans.stages import EncodeTarget, FittedStages, Impute, Stages, default_stages
 from clickfeat.sinks.text import csv_line, rate_line, sparse_line, vw_line, write_lines
@@ -122,7 +122,9 @@ def encode_and_fill(spark: SparkSession, source: str, out: str, rates_out: str)
     rates = encoding.fit_target_rates(df, roles)
     _write_rates(rates, rates_out)
     encoded = encoding.as_doubles(encoding.target_encode(df, roles, rates))
-    write_lines(fill_column_mean(encoded), csv_line(df.columns), out)
+    numbers = [c for c in df.columns if c not in roles.categorical]
+    means = {**summary.means_of(df, numbers), **encoding.rate_means(rates)}
+    write_lines(fill_values(encoded, means), csv_line(df.columns), out)
 
 
 def fit_imputer(spark: SparkSession, source: str, state: str) -> None:

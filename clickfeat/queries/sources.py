@@ -290,6 +290,11 @@ def project_by_index_set(spark, sf_dir):
     return projection.project_by_index(li(spark, sf_dir), {0, 2, 8})
 
 
+@query(f"WITH {LI} SELECT c3, id, i2 FROM li")
+def project_by_reference(spark, sf_dir):
+    return projection.project_by_reference(li(spark, sf_dir), ["c3", 0, "i2"])
+
+
 @query(f"WITH {LI} SELECT c1, c2, c3 FROM li")
 def project_by_kind(spark, sf_dir):
     return projection.project_by_kind(

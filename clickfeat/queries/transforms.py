@@ -213,7 +213,9 @@ def target_encode_filled(spark, sf_dir):
     frame = li(spark, sf_dir)
     rates = encoding.fit_target_rates(frame, LI_ROLES)
     encoded = encoding.as_doubles(encoding.target_encode(frame, LI_ROLES, rates))
-    return rounded(imputing.fill_column_mean(encoded), *LI_ROLES.columns)
+    numbers = [c for c in LI_ROLES.columns if c not in LI_ROLES.categorical]
+    means = {**summary.means_of(frame, numbers), **encoding.rate_means(rates)}
+    return rounded(imputing.fill_values(encoded, means), *LI_ROLES.columns)
 
 
 def _stages_sql(fit_on: str, more_than: int, log: bool) -> str:
