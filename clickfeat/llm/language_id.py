@@ -4,7 +4,8 @@ Training counts letter n-grams by language over all labelled documents: tasks ad
 hashed counts, and one shuffle sums them. The model has ``BUCKETS`` log-probabilities a language,
 whatever the size of the corpus.
 
-A document is a bag of words, each with a likelihood under every language from its n-grams.
+A document is a bag of words, each with a likelihood under every language from its n-grams and a weight
+that grows with the logarithm of its count.
 Expectation-maximisation estimates the languages' proportions in the document; the set of languages
 is the one with the best likelihood less a penalty for each language. The largest proportion names
 the document.
@@ -129,10 +130,15 @@ class Model:
         return out * (4.0 / np.maximum(sizes, 1))[:, None]
 
 
+def damped(counts: np.ndarray) -> np.ndarray:
+    """Weights of words by how often they occur: a line repeated a hundred times is little evidence."""
+    return 1.0 + np.log(counts)
+
+
 def infer(likelihoods: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Proportions of the languages in a document; zero for those not in the chosen set.
 
-    ``likelihoods`` are log-likelihoods of its distinct words, ``counts`` how often they occur. Languages
+    ``likelihoods`` are log-likelihoods of its distinct words, ``counts`` their weights. Languages
     leave the set one at a time, smallest first, while that improves the penalised likelihood.
     """
     total = counts.sum()
@@ -190,7 +196,7 @@ def _predictor(model: Model):
                     known[len(numbers) - len(new) : len(numbers)] = model.word_likelihoods(new)
                 at = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
                 distinct, counts = np.unique(at, return_counts=True)
-                shares = infer(known[distinct], counts.astype(float))
+                shares = infer(known[distinct], damped(counts))
                 first = int(shares.argmax())
                 langs.append(model.languages[first])
                 scores.append(min(1.0, float(shares[first])))
