@@ -44,7 +44,9 @@ GENERATORS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}+|00[0-9]{1,3}+)?[ .-]?\(?[0-9]{2,4}+\)?[ .-]"
     r"[0-9]{3,4}+[ .-][0-9]{3,4}+(?![0-9])",
 }
-#: A text without this holds no candidate of the kind.
+#: A text without this holds no span of the kind that passes: implied by the base rule and its check.
+BASE_TRIGGERS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){15}", "phone": r"\+[0-9]"}
+#: A text without this holds no candidate of the kind's generator.
 TRIGGERS = {"email": r"@|[\[({]at[\])}]", "ip": "[0-9A-Fa-f][.:]", "card": "[0-9]{4}", "phone": "[0-9]{3}"}
 CONTEXT = 32
 CUES = {
@@ -234,14 +236,12 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     base, wide = [], []
     for number, kind in enumerate(KINDS):
-        present = text.rlike(TRIGGERS[kind])
-        raw = F.when(present, _spans(text, BASE[kind])).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+        none = F.expr(f"cast(array() as {_SPAN})")
+        raw = F.when(text.rlike(BASE_TRIGGERS[kind]), _spans(text, BASE[kind])).otherwise(none)
         good = F.filter(raw, _passing(kind))
         base.append(F.transform(good, _bounds(number)))
         wide.append(F.transform(good, _near_miss(kind)))
-        more = F.when(present, _spans(text, GENERATORS[kind])).otherwise(
-            F.expr(f"cast(array() as {_SPAN})")
-        )
+        more = F.when(text.rlike(TRIGGERS[kind]), _spans(text, GENERATORS[kind])).otherwise(none)
         wide.append(F.transform(more, _candidate(kind)))
     return docs.select(
         F.col(id_col).alias("_id"),

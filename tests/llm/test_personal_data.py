@@ -52,6 +52,17 @@ def test_base_spans_against_the_rules(documents):
         assert sorted(tuple(s) for s in got[i]["base"]) == sorted(brute(text)), (text or "")[:80]
 
 
+#: Valid spans without three or four digits in a row.
+SPARSE = ["+33 1 23 45 67 89", "453 201 511 283 036 6", "4 5 3 2 0 1 5 1 1 2 8 3 0 3 6 6", "+3-3.1 (2)3 4", "45 32-01 51-12 83 03 66 x"]
+
+
+def test_base_spans_in_short_runs_of_digits(documents):
+    got = {r["doc_id"]: r for r in pd_.find_personal_data(documents(list(enumerate(SPARSE)))).collect()}
+    for i, text in enumerate(SPARSE):
+        assert sorted(tuple(s) for s in got[i]["base"]) == sorted(brute(text)), text
+    assert all(brute(SPARSE[i]) for i in (0, 1, 2, 4))
+
+
 def test_given_documents(small):
     docs = small("documents")
     got = {r["doc_id"]: r for r in pd_.find_personal_data(docs).collect()}
