@@ -4,8 +4,8 @@ Markup is stripped so that every block element is a line. Elements that are neve
 their name, role or class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 comments) leave their lines without weight. Text lengths are summed over a sliding window of lines;
 where the sum first surges the main text begins, where it dives to nothing after its last surge it
-ends, and all weighted lines between are kept. Where a page marks its article, only lines inside it
-have weight.
+ends, and all weighted lines between are kept. Where a page marks its article, and that holds the
+main share of the text, only lines inside it have weight.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe",
 ASIDE = frozenset(
     "nav header footer aside form button select option menu dialog fieldset label head".split()
 )
+#: Elements that may stand in a head; any other ends one that is still open.
+METADATA = frozenset("base basefont bgsound head link meta".split()) | set(RAW[:4]) | {"title", "noframes"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp"
@@ -48,15 +50,17 @@ MARKS = frozenset(
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</(?P=raw)\s*>|.*\Z)"
+    r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</(?P=raw)\s*>|.*\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     # A tag with a quote that is never closed ends at the next bracket.
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>",
     re.S | re.I,
 )
-_MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+#: An attribute: its name and, with a value, the value in one of three forms.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 #: A class of these says what else is on the page, not what the element is.
 _WITH = re.compile(r"(?:has|with|no|without|is|wp)[-_]")
@@ -74,11 +78,18 @@ def _is_aside(name: str, rest: str, in_article: bool) -> bool:
         return True
     if not rest or name in ("html", "body", "main"):
         return False
-    if _HIDDEN.search(rest):
-        return True
     marks = _REPLIES if name == "article" else MARKS
-    for groups in _MARKED.findall(rest):
-        for word in "".join(groups).lower().split():
+    for key, *values in _ATTRIBUTE.findall(rest):
+        key, value = key.lower(), "".join(values)
+        if (
+            key == "hidden"
+            or (key == "aria-hidden" and value.strip().lower() == "true")
+            or (key == "style" and _NO_DISPLAY.search(value))
+        ):
+            return True
+        if key not in ("class", "id", "role"):
+            continue
+        for word in value.lower().split():
             parts = set(_PARTS.split(word)) - ({"header"} if in_article else set())
             if not _WITH.match(word) and not marks.isdisjoint(parts):
                 return True
@@ -107,9 +118,16 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
             aside -= was_aside
             article -= was_article
 
+    def close_head() -> None:
+        if stack and stack[-1][0] == "head":
+            flush()
+            close(len(stack) - 1)
+
     at = 0
     for match in _TOKEN.finditer(html):
         if match.start() > at:
+            if html[at : match.start()].strip():
+                close_head()
             text.append(html[at : match.start()])
         at = match.end()
         name = match["name"] or match["name2"]
@@ -133,6 +151,8 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
                 if stack[depth][0] == "p":
                     close(depth)
                     break
+        if name not in METADATA:
+            close_head()
         if name in VOID:
             continue
         rest = match["rest"] if match["name"] else match["rest2"]
@@ -141,17 +161,25 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
         stack.append((name, marked, is_article))
         aside += marked
         article += is_article
+    if html[at:].strip():
+        close_head()
     text.append(html[at:])
     flush()
     return found
 
 
+def _settled(found: list[tuple[str, bool, bool]]) -> bool:
+    """Whether article and main elements hold the main share of the text that is not aside."""
+    inside = sum(len(text) for text, article, aside in found if article and not aside)
+    return inside > 0 and 2 * inside >= sum(len(text) for text, _, aside in found if not aside)
+
+
 def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between the first surge and the last dive of the windowed text length."""
     found = lines(html or "")
     if not found:
         return []
-    marked = any(inside and not aside for _, inside, aside in found)
+    marked = _settled(found)
     use = np.array([not aside and (inside or not marked) for _, inside, aside in found])
     size = np.array([len(text) for text, _, _ in found]) * use
     sums = np.concatenate([[0], np.cumsum(np.concatenate([size, np.zeros(window - 1, int)]))])

@@ -25,6 +25,24 @@ PAGES = [
 ]
 
 
+BODY = "The whole article stands here, in a sentence of some length."
+LOOSE = [
+    (f"<article style='overflow:hidden'><p>{BODY}</article>", BODY),
+    (f"<div class='overflow-hidden'><p aria-hidden=false data-id='nav'>{BODY}</p></div>", BODY),
+    (f"<p aria-hidden=\"true\">no</p><p HIDDEN=''>no</p><p style='color:red;display : none'>no</p><p>{BODY}", BODY),
+    (f"<html><head><title>t</title><meta charset=utf-8><body><p>{BODY}</p></body></html>", BODY),
+    (f"<head><link rel=x><style>p{{}}</style><p>{BODY}</p>", BODY), (f"<head><title>t</title>{BODY}", BODY),
+    (f"<svg-icon name=a></svg-icon><p>{BODY}</p>", BODY),
+    (f"<svg/><math a='1' /><p>{BODY}</p><svg><text>no</text></svg>", BODY),
+    (f"<article><p>See also</p></article><div><p>{BODY}</p></div>", f"See also {BODY}"),
+]
+
+
+@pytest.mark.parametrize("html, text", LOOSE)
+def test_loose_markup_empties_no_article(html, text):
+    assert " ".join(main_lines(html)) == text
+
+
 @pytest.mark.parametrize("html, text", PAGES)
 def test_pages(html, text):
     assert " ".join(main_lines(html)) == text
