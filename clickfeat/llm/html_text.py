@@ -2,10 +2,12 @@
 
 Markup is stripped so that every block element is a line. Elements that are never article text by
 their name, role or class (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-comments) leave their lines without weight. Text lengths are summed over a sliding window of lines;
-where the sum first surges the main text begins, where it dives to nothing after its last surge it
-ends, and all weighted lines between are kept. Where a page marks its article, and that holds the
-main share of the text, only lines inside it have weight.
+comments) leave their lines without weight. Where a page marks its article, and that holds the main
+share of the text, the article's lines are the main text. On other pages text lengths without links
+are summed over a sliding window of lines: where the sum first surges the main text begins, where it
+dives after its last surge it ends, and all weighted lines between are kept, except lines of links
+at the ends. A surge is relative to the page: a share of the window sum around its median character,
+so that short pages stay whole.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 
 from clickfeat.llm.common import query, table
 
-#: Lines in a window, and the text in one that makes a surge.
+#: Lines in a window; the share of a page's typical window that makes a surge, and the most it asks for.
 WINDOW = 3
-SURGE = 1
+SURGE = 0.1
+SURGE_CHARS = 80
 
 #: Content that is not markup: it ends at its own end tag only.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math",
@@ -61,6 +64,9 @@ _TOKEN = re.compile(
 #: An attribute: its name and, with a value, the value in one of three forms.
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
+_WORD = re.compile(r"[^\W_]")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARTS = re.compile(r"[^a-z0-9]+")
 #: A class of these says what else is on the page, not what the element is.
 _WITH = re.compile(r"(?:has|with|no|without|is|wp)[-_]")
@@ -96,20 +102,41 @@ def _is_aside(name: str, rest: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> list[tuple[str, bool, bool]]:
-    """Lines of a page in order: text, whether inside an article or main element, whether aside."""
-    found: list[tuple[str, bool, bool]] = []
+def lines(html: str) -> list[tuple[str, bool, bool, int, bool]]:
+    """Lines of a page in order: text, whether inside an article or main element, whether aside,
+    the characters outside links (none if those have no word; a heading's links count as text), and
+    whether a heading."""
+    found: list[tuple[str, bool, bool, int, bool]] = []
     text: list[str] = []
+    #: Text outside links; a link ends with its line at the latest.
+    plain: list[str] = []
+    link = linked = False
     #: Open elements: name, whether aside, whether article.
     stack: list[tuple[str, bool, bool]] = []
     aside = article = 0
 
+    def add(part: str) -> None:
+        nonlocal linked
+        text.append(part)
+        if link:
+            linked = True
+        else:
+            plain.append(part)
+
     def flush() -> None:
+        nonlocal link, linked
         if text:
             joined = " ".join(unescape("".join(text)).split())
             if joined:
-                found.append((joined, article > 0, aside > 0))
+                own = len(joined)
+                heading = any(s[0] in _HEADINGS for s in stack[-4:])
+                if linked and not heading:
+                    outside = " ".join(unescape("".join(plain)).split())
+                    own = len(outside) if _WORD.search(outside) else 0
+                found.append((joined, article > 0, aside > 0, own, heading))
             text.clear()
+            plain.clear()
+        link = linked = False
 
     def close(until: int) -> None:
         nonlocal aside, article
@@ -128,7 +155,7 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
         if match.start() > at:
             if html[at : match.start()].strip():
                 close_head()
-            text.append(html[at : match.start()])
+            add(html[at : match.start()])
         at = match.end()
         name = match["name"] or match["name2"]
         if name is None:
@@ -137,6 +164,8 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
         if match["end"] or match["end2"]:
             if name not in INLINE:
                 flush()
+            elif name == "a":
+                link = False
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
                     close(depth)
@@ -156,6 +185,8 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
         if name in VOID:
             continue
         rest = match["rest"] if match["name"] else match["rest2"]
+        if name == "a":
+            link = _HREF.search(rest) is not None
         marked = _is_aside(name, rest, article > 0)
         is_article = name in ("article", "main")
         stack.append((name, marked, is_article))
@@ -163,34 +194,46 @@ def lines(html: str) -> list[tuple[str, bool, bool]]:
         article += is_article
     if html[at:].strip():
         close_head()
-    text.append(html[at:])
+    add(html[at:])
     flush()
     return found
 
 
-def _settled(found: list[tuple[str, bool, bool]]) -> bool:
+def _settled(found: list[tuple[str, bool, bool, int, bool]]) -> bool:
     """Whether article and main elements hold the main share of the text that is not aside."""
-    inside = sum(len(text) for text, article, aside in found if article and not aside)
-    return inside > 0 and 2 * inside >= sum(len(text) for text, _, aside in found if not aside)
-
-
-def main_lines(html: str | None, window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between the first surge and the last dive of the windowed text length."""
-    found = lines(html or "")
-    if not found:
-        return []
-    marked = _settled(found)
-    use = np.array([not aside and (inside or not marked) for _, inside, aside in found])
-    size = np.array([len(text) for text, _, _ in found]) * use
+    inside = sum(len(text) for text, article, aside, *_ in found if article and not aside)
+    return inside > 0 and 2 * inside >= sum(len(text) for text, _, aside, *_ in found if not aside)
+
+
+def _between(size: np.ndarray, window: int, surge: float) -> tuple[int, int]:
+    """The first line of the first surge and the line after the last dive, for lines of some text."""
     sums = np.concatenate([[0], np.cumsum(np.concatenate([size, np.zeros(window - 1, int)]))])
     blocks = sums[window:] - sums[:-window]
-    high = np.flatnonzero(blocks >= surge)
-    if not len(high):
-        return []
-    first, last = high[0], high[-1]
-    return [
-        text for i, (text, _, _) in enumerate(found) if first <= i <= last + window - 1 and use[i]
-    ]
+    # The window sum in which the page's median character lies.
+    order = np.argsort(blocks, kind="stable")
+    total = np.cumsum(size[order])
+    typical = blocks[order[np.searchsorted(total, total[-1] / 2)]]
+    high = np.flatnonzero(blocks >= max(1, min(surge * typical, SURGE_CHARS)))
+    first, last = int(high[0]), min(int(high[-1]) + window, len(size))
+    while not size[first]:
+        first += 1
+    while not size[last - 1]:
+        last -= 1
+    return first, last
+
+
+def main_lines(html: str | None, window: int = WINDOW, surge: float = SURGE) -> list[str]:
+    """The lines of the marked article, or those between the first surge and the last dive."""
+    found = [line for line in lines(html or "") if not line[2]]
+    if _settled(found):
+        return [text for text, inside, *_ in found if inside]
+    size = np.array([own for *_, own, _ in found], int)
+    if not size.any():  # nothing but links
+        return [text for text, *_ in found]
+    first, last = _between(size, window, surge)
+    # A title above a few short lines, such as author and date, belongs to the text.
+    first = next((i for i in range(max(0, first - window), first) if found[i][4]), first)
+    return [text for text, *_ in found[first:last]]
 
 
 def _extracted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -43,6 +43,28 @@ def test_loose_markup_empties_no_article(html, text):
     assert " ".join(main_lines(html)) == text
 
 
+PARAGRAPHS = [f"Paragraph {i} of the article says what there is to say about it, at some length." for i in range(8)]
+MENU = "".join(f"<div class=x><a href='/{i}'>Item {i}</a></div>" for i in range(12))
+WORDS = "".join(f"<div>Word {i}</div>" for i in range(12))
+
+
+def test_window_sums_decide_without_a_marked_article():
+    body = "<h2><a href=/t>Title</a></h2>" + "".join(f"<p>{p} <a href=/x>more</a></p>" for p in PARAGRAPHS)
+    text = ["Title", *[f"{p} more" for p in PARAGRAPHS]]
+    assert main_lines(f"<div>{MENU}</div><div>{body}</div><div>{MENU}</div>") == text
+    # Short lines without links go too, but for those that share a window with the article.
+    got = main_lines(f"<div>{WORDS}</div><div>{body}</div><div>{WORDS}</div>")
+    assert got[1:-2] == text and len(got) == len(text) + 3
+    by = "<h1>A</h1><p>by B</p><p>today</p>" + "".join(f"<p>{p}" for p in PARAGRAPHS)
+    assert main_lines(f"{MENU}{by}") == ["A", "by B", "today", *PARAGRAPHS]
+    # A link that is never closed, a page of links only and one long paragraph among short ones lose nothing.
+    assert main_lines("<p><a href=/x>open" + "".join(f"<p>{p}" for p in PARAGRAPHS))[-8:] == PARAGRAPHS
+    assert len(main_lines(MENU)) == 12
+    short = [f"A rather short paragraph, number {i}, of the text." for i in range(6)]
+    page = [*short, "long " * 2000 + "end.", *short]
+    assert main_lines("".join(f"<p>{p}</p>" for p in page)) == page
+
+
 @pytest.mark.parametrize("html, text", PAGES)
 def test_pages(html, text):
     assert " ".join(main_lines(html)) == text
