@@ -119,6 +119,37 @@ def test_nodes_larger_than_the_store_stay_connected(monkeypatch):
     assert set(label) == {0}
 
 
+def test_large_leaves_are_compared_in_all_pairs(monkeypatch):
+    import pandas as pd
+
+    draw = np.random.default_rng(3)
+    n, least = 600, 44
+    small = draw.integers(0, 256, (n, nd.COORDINATES), dtype=np.uint8)
+    pairs = [(5 + i, n - 5 - 7 * i) for i in range(20)]
+    for a, b in pairs:
+        small[b] = small[a]
+        small[b, :12] += 1
+    small[300:340] = small[300]  # a group, and a chain that hangs on it
+    small[400:405] = small[300]
+    for k in range(5):
+        small[400 + k, : 15 * (k + 1)] += 1
+    want = {frozenset(p) for p in pairs} | {frozenset([*range(300, 340), *range(400, 405)])}
+
+    def groups(edges):
+        label = list(range(n))
+        for a, b in edges:
+            low, high = sorted((label[a], label[b]))
+            label = [low if v == high else v for v in label]
+        return {frozenset(i for i in range(n) if label[i] == v) for v in set(label) if label.count(v) > 1}
+
+    assert groups(nd.node_edges(np.zeros((n, nd.DEPTH), np.int64), small, least)) == want
+    monkeypatch.setattr(nd, "RUN_ROWS", 100)  # leaves stay whole in a store that is smaller
+    way = np.zeros((n, nd.DEPTH), ">u4").tobytes()[: 4 * nd.DEPTH]
+    batch = pd.DataFrame({"_tree": 0, "_path": [way] * n, "_class": range(n), "_small": [s.tobytes() for s in small]})
+    found = pd.concat(nd._node_reader(nd.DEPTH, nd.COORDINATES, least)(iter([batch])))
+    assert groups(found[["_a", "_b"]].to_numpy().tolist()) == want
+
+
 def test_components(spark):
     draw = random.Random(4)
     edges = [(a, a + 1) for a in range(60)] + [(100, b) for b in range(101, 400)]
