@@ -148,18 +148,17 @@ def logreg_fit(spark, sf_dir):
 
 @query()
 def logreg_fit_hashed(spark, sf_dir):
-    """Weights on numeric and hashed level features: non-zero slots."""
-    bits = 14
+    """Weights on numeric and hashed level features: non-zero slots of the whole layout."""
     scaled = scaling.scale_minmax_filled(
         li(spark, sf_dir), summary.bounds_of(li(spark, sf_dir), LI_ROLES.numeric)
     )
-    width = assembling.HASH_BASE + (1 << bits)
-    entries = assembling.hash_features(scaled, LI_ROLES, bits=bits)
+    entries = assembling.hash_features(scaled, LI_ROLES)
+    numbered, slots = assembling.number_slots(entries.select("label", "entries"))
     rows = logistic.store_sparse(
-        entries.select("label", logistic.sparse_fields(F.col("entries"), width).alias("features"))
+        numbered.select("label", logistic.sparse_fields(F.col("entries"), len(slots)).alias("features"))
     )
     model = logistic.fit(rows, logistic.HASHED)
-    return logistic.coefficients(model, rows, lambda slot: f"slot_{slot}").filter("weight <> 0")
+    return logistic.coefficients(model, rows, lambda i: f"slot_{slots[i]}").filter("weight <> 0")
 
 
 @query()

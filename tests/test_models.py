@@ -117,3 +117,26 @@ def test_one_class_only(spark):
 def test_sigmoid_saturates(spark):
     df = spark.createDataFrame([(-1000.0,), (0.0,), (1000.0,)], "m double")
     assert [r[0] for r in df.select(sigmoid(F.col("m"))).collect()] == [0.0, 0.5, 1.0]
+
+
+def test_hashed_weights_keep_the_whole_layout(spark):
+    import pytest
+
+    from clickfeat.operators import assembling
+    from clickfeat.queries.models import logreg_fit_hashed
+
+    far = [(0, 1.0), (30 + (1 << 20), 2.0)], [(30 + (1 << 26), 1.0)], []
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(far)], "n int, entries array<struct<slot:bigint,value:double>>")
+    numbered, slots = assembling.number_slots(df)
+    assert slots == [0, 30 + (1 << 20), 30 + (1 << 26)]
+    got = {r["n"]: sorted((slots[e["slot"]], e["value"]) for e in r["entries"]) for r in numbered.collect()}
+    assert got == dict(enumerate(far))
+    folder = __import__("pathlib").Path("/root/testdata/sf0.001")
+    if not folder.exists():
+        pytest.skip("test tables are absent")
+    weights = {r["feature"] for r in logreg_fit_hashed(spark, str(folder)).collect()}
+    from clickfeat.queries.frames import LI_ROLES, li
+
+    entries = assembling.hash_features(li(spark, str(folder)), LI_ROLES).selectExpr("inline(entries)").select("slot")
+    known = {f"slot_{r['slot']}" for r in entries.distinct().collect()}
+    assert weights <= known | {"(intercept)"}
