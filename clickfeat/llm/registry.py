@@ -11,6 +11,7 @@ from clickfeat.llm import (  # noqa: F401
     quality_rules,
     token_counts,
     warc,
+    whitening,
 )
 from clickfeat.llm.common import ORACLES, QUERIES
 
