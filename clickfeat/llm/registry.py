@@ -9,6 +9,7 @@ from clickfeat.llm import (  # noqa: F401
     packing,
     personal_data,
     quality_rules,
+    source_divergence,
     token_counts,
     warc,
     whitening,
