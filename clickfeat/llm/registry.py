@@ -8,6 +8,7 @@ from clickfeat.llm import (  # noqa: F401
     near_dedup,
     packing,
     personal_data,
+    quality_classifier,
     quality_rules,
     source_divergence,
     token_counts,

@@ -7,7 +7,7 @@ from clickfeat.llm import registry
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
 
 
 def test_results_have_their_contracts_columns(spark, small):
@@ -25,6 +25,7 @@ def test_results_have_their_contracts_columns(spark, small):
         "op10_near_dedup": "doc_id n_shingles component_id kept",
         "op11_whitening": "vec_id component n deviation whitened explained identity_error",
         "op12_source_divergence": "lang source part item value rank",
+        "op13_quality_classifier": "doc_id held_out score predicted",
     }
     for name, columns in wanted.items():
         result = registry.QUERIES[name](spark, str(SMALL))
