@@ -1,6 +1,6 @@
 """Quality scores by a factorisation machine.
 
-A text becomes a sparse vector: hashed words with damped counts, structure statistics in bins, and
+A text becomes a sparse vector: hashed words with damped counts, structure statistics in steps, and
 metadata columns. The machine adds to a linear score the interaction of every pair of features, with
 the inner product of two short factor vectors as the pair's weight. By the sum-of-squares identity, the sum
 over all pairs is ``1/2 * sum_f ((sum_i v_if x_i)^2 - sum_i (v_if x_i)^2)``, so a score costs time linear in
@@ -28,7 +28,7 @@ from clickfeat.llm.source_divergence import terms_of
 
 #: Slots of hashed words, and behind them those of statistics and metadata.
 WORD_SLOTS = 1 << 15
-OTHER_SLOTS = 1 << 10
+OTHER_SLOTS = 1 << 12
 FACTORS = 8
 #: Labelled rows that the machine is fitted on, about: a sample by hash where there are more.
 SAMPLE = 16_000
@@ -39,8 +39,8 @@ L2 = 1e-4
 #: Scores from here are predicted good.
 GOOD = 0.7
 #: Length of the vector of hashed words, and value of every other feature.
-WORD_WEIGHT = 0.5
-OTHER_WEIGHT = 1.0
+WORD_WEIGHT = 0.25
+OTHER_WEIGHT = 0.5
 
 SYMBOLS = b"#*$%&|<>{}[]\\^~=+_@/"
 ENDS = b".!?:;"
@@ -78,10 +78,13 @@ def statistics(text: str, raw: bytes, words: Counter) -> dict[str, float]:
     }
 
 
-def bin_of(name: str, value: float) -> str:
-    """Shares in bins that widen from 1/1000, sizes by powers of two."""
+def steps_of(name: str, value: float) -> list[str]:
+    """A feature for each power of two that a size, or a share in thousandths, has reached.
+
+    Steps add up, so that what few rows teach about a large value holds for larger ones too.
+    """
     scaled = value if name in ("words", "lines", "words a line", "word length") else 1000 * value
-    return f"{name}:{int(np.log2(1 + scaled))}"
+    return [f"{name}>={k}" for k in range(int(np.log2(1 + scaled)) + 1)]
 
 
 def _other_slot(feature: str) -> int:
@@ -95,7 +98,7 @@ def features(text: str | None, metadata: dict) -> tuple[np.ndarray, np.ndarray]:
     words: Counter[bytes] = Counter()
     for part in terms_of(raw):
         words.update(part)
-    others = [bin_of(*item) for item in statistics(text, raw, words).items()]
+    others = [step for item in statistics(text, raw, words).items() for step in steps_of(*item)]
     for name, value in metadata.items():
         number = isinstance(value, (int, float)) and not isinstance(value, bool) and value == value
         small = number and abs(value) < 1e300
