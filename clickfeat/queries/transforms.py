@@ -175,6 +175,16 @@ def apply_global_index(spark, sf_dir):
     return encoding.index_levels(frame, LI_ROLES, _kept(spark, sf_dir).numbered())
 
 
+@query(
+    f"{_LEVELS}, {_IX} SELECT id, " + "{} FROM li {}".format(*_looked_up("ix", "idx", "-1"))
+)
+def apply_global_index_shuffled(spark, sf_dir):
+    """No column within the broadcast budget: all share one lookup."""
+    frame = li(spark, sf_dir).select("id", *LI_ROLES.categorical)
+    numbered = _kept(spark, sf_dir).numbered()
+    return encoding.index_levels(frame, LI_ROLES, numbered, broadcast_levels=0)
+
+
 @query(
     f"""{_LEVELS}, ix AS (SELECT col, value,
   row_number() OVER (PARTITION BY col ORDER BY value) - 1 AS idx FROM lc) SELECT id, """
@@ -202,6 +212,18 @@ def target_encode(spark, sf_dir):
     return rounded(encoded, *LI_ROLES.categorical)
 
 
+@query(
+    f"{_ENCODED} SELECT id, label, i1, i2, i3, i4, "
+    "round(c1, 6) AS c1, round(c2, 6) AS c2, round(c3, 6) AS c3 FROM enc"
+)
+def target_encode_shuffled(spark, sf_dir):
+    """Whole rows through the shared lookup; levels of the fitted table only."""
+    frame = li(spark, sf_dir)
+    rates = encoding.fit_target_rates(frame, LI_ROLES)
+    encoded = encoding.target_encode(frame, LI_ROLES, rates, broadcast_levels=0)
+    return rounded(encoded, *LI_ROLES.categorical)
+
+
 @query(
     f"{_ENCODED}, m AS (SELECT "
     + ", ".join(f"avg({c}) AS {c}" for c in LI_ROLES.columns)
