@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import keep, partitions, query, table
+from clickfeat.llm.common import keep, query, table
 
 #: A term is kept if at least so many documents of its language hold it.
 LEAST_DOCS = 30
@@ -38,8 +38,10 @@ TOP_TERMS = 50
 #: Distinct terms in a task before it hands on its counts, and bytes of a text cut into terms at a time.
 TASK_TERMS = 400_000
 SLICE = 1 << 20
-#: Postings in a block, about, and peers' postings looked at in one step.
-BLOCK_POSTINGS = 1_000_000
+#: Postings in a block, about: more where there are more pairs of groups, as a block gives a row for each
+#: pair, up to a bound that fits a task. And peers' postings looked at in one step.
+BLOCK_POSTINGS = 100_000
+MOST_POSTINGS = 4_000_000
 STEP = 1 << 20
 
 #: Terms are runs of ASCII letters and all other characters beyond ASCII; UTF-8 keeps those bytes apart.
@@ -226,7 +228,6 @@ def audit(
     an empty table gives no rows. A task holds its block, a row for each group and a number for each pair of a
     language's groups, of which the result has a row each.
     """
-    spark = docs.sparkSession
     counts = keep(count_terms(docs, text_col, lang_col, source_col), "term-counts")
     of_term = Window.partitionBy("lang", "term")
     postings = (
@@ -249,8 +250,9 @@ def audit(
     whole = groups.groupBy("lang").agg(F.sum("kept").alias("kept"), F.sum("total").alias("lang_total"))
     groups = keep(groups.drop("kept").join(whole, "lang"), "groups")
 
-    size = groups.agg(F.sum("size")).first()[0] or 0
-    blocks = max(partitions(spark), -(-size // BLOCK_POSTINGS))
+    per_lang = groups.groupBy("lang").agg(F.sum("size").alias("size"), F.pow(F.count("*"), 2).alias("pairs"))
+    size, pairs = (int(v or 0) for v in per_lang.agg(F.sum("size"), F.sum("pairs")).first())
+    blocks = max(1, -(-size // min(MOST_POSTINGS, max(BLOCK_POSTINGS, pairs))))
     block = F.pmod(F.xxhash64("lang", "term"), F.lit(blocks)).cast("int").alias("block")
     each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     found = (

@@ -65,7 +65,7 @@ def test_whole_table_equals_brute_force(spark, small):
 def test_many_blocks_and_task_flushes_change_nothing(spark, small, monkeypatch):
     docs = small("documents")
     whole = rows_of(sd.audit(docs, least_docs=4))
-    monkeypatch.setattr(sd, "BLOCK_POSTINGS", 100)
+    monkeypatch.setattr(sd, "MOST_POSTINGS", 100)
     assert rows_of(sd.audit(docs.repartition(5), least_docs=4)) == whole
 
 
