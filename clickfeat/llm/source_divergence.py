@@ -40,7 +40,7 @@ TASK_TERMS = 400_000
 SLICE = 1 << 20
 #: Postings in a block, about: more where there are more pairs of groups, as a block gives a row for each
 #: pair, up to a bound that fits a task. And peers' postings looked at in one step.
-BLOCK_POSTINGS = 100_000
+BLOCK_POSTINGS = 25_000
 MOST_POSTINGS = 4_000_000
 STEP = 1 << 20
 
