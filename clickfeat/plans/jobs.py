@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.functions.numeric import recode_label
 from clickfeat.functions.text import cell_text
-from clickfeat.models import logistic
+from clickfeat.models import logistic, sharded
 from clickfeat.models.bayes import POOL_BELOW, NaiveBayes, scores_above
 from clickfeat.models.evaluation import log_loss, precision_recall
 from clickfeat.operators import assembling, encoding, scaling, splitting, summary
@@ -193,15 +193,19 @@ def train_dictionary(
 
 
 def train_hashed(
-    spark: SparkSession, source: str, bits: int = 18
-) -> tuple[logistic.LogisticRegressionModel, DataFrame]:
+    spark: SparkSession, source: str, bits: int = assembling.HASH_BITS
+) -> tuple[sharded.ShardedModel, DataFrame]:
     """Logistic regression on hashed levels; precision and recall on the test part.
 
-    The trainer keeps dense weights, so its slots are fewer than the hashed layout allows.
+    The whole layout is trained: weights are a table of the slots that occur.
     """
     df, roles = _nullable_integers(spark, source)
     entries = assembling.hash_features(df, roles, bits=bits)
-    return _train_entries(entries, roles, assembling.HASH_BASE + (1 << bits), logistic.HASHED)
+    label = recode_label(F.col(roles.label), F.col(roles.label) == 1, 1.0, 0.0)
+    rows = entries.select(roles.id, label.alias("label"), assembling.ENTRIES)
+    train, test = splitting.split_hash(rows, roles.id, [0.8, 0.2], 10)
+    model = sharded.fit(train, logistic.HASHED, assembling.HASH_BASE + (1 << bits))
+    return model, precision_recall(sharded.score(test, model), "p_class", "label")
 
 
 def _train_entries(df, roles, width, training):

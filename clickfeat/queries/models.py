@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from clickfeat.functions.numeric import recode_label
-from clickfeat.models import evaluation, logistic
+from clickfeat.models import batched, evaluation, logistic, sharded
 from clickfeat.models.bayes import NaiveBayes, scores_above
 from clickfeat.operators import assembling, scaling, summary
 from clickfeat.operators.levels import LevelTable, level_counts
@@ -146,47 +146,149 @@ def _dense(spark, sf_dir):
     return dense.select("id", "label", logistic.dense_vector(F.col("features")).alias("features"))
 
 
-@query()
+EXACT = 1e-12
+
+
+def _newton(features: int, x: str, steps: int = 12) -> str:
+    """CTEs that train on rows ``part, y, x0, x1, ...``: ``fitted`` has the weights of each part.
+
+    Newton's method, its equations solved by elimination, one nested query for each pivot.
+    """
+    n = range(features)
+    weights = ", ".join(f"w{i}" for i in n)
+    margin = " + ".join(f"w{i} * x{i}" for i in n)
+    sums = ", ".join(
+        [f"sum(p * (1 - p) * x{i} * x{j}) AS h{i}_{j}" for i in n for j in n]
+        + [f"sum((y - p) * x{i}) AS g{i}" for i in n]
+    )
+    solved = f"""SELECT part, k, {weights}, {sums} FROM (
+      SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM step JOIN x USING (part) WHERE k < {steps})
+    GROUP BY part, k, {weights}"""
+    for pivot in n:
+        rows = [
+            f"h{i}_{j} - h{i}_{pivot} * h{pivot}_{j} / h{pivot}_{pivot} AS h{i}_{j}"
+            if i != pivot else f"h{i}_{j}"
+            for i in n for j in n
+        ]
+        rows += [
+            f"g{i} - h{i}_{pivot} * g{pivot} / h{pivot}_{pivot} AS g{i}" if i != pivot else f"g{i}"
+            for i in n
+        ]
+        solved = f"SELECT part, k, {weights}, {', '.join(rows)} FROM ({solved})"
+    moved = ", ".join(f"w{i} + g{i} / h{i}_{i}" for i in n)
+    zeros = ", ".join(f"0.0::DOUBLE AS w{i}" for i in n)
+    return f"""x AS ({x}),
+step AS (SELECT DISTINCT part, 0 AS k, {zeros} FROM x
+  UNION ALL SELECT part, k + 1, {moved} FROM ({solved})),
+fitted AS (SELECT * FROM step WHERE k = {steps})"""
+
+
+_BOUNDS = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in LI_ROLES.numeric)
+_SCALED = ", ".join(
+    f"(COALESCE({c}, 0) - lo_{c}) / (hi_{c} - lo_{c}) AS x{i}" for i, c in enumerate(LI_ROLES.numeric)
+)
+_SCALED_LI = f"""scaled AS (SELECT id, label AS y, c3, {_SCALED}, 1.0::DOUBLE AS x4
+  FROM li, (SELECT {_BOUNDS} FROM li))"""
+
+
+@query(
+    f"""WITH RECURSIVE {LI}, {_SCALED_LI},
+{_newton(5, "SELECT 0 AS part, * FROM scaled")}
+"""
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, round(w{i}, 4) AS weight FROM fitted"
+        for i, name in enumerate((*LI_ROLES.numeric, "(intercept)"))
+    )
+)
 def logreg_fit(spark, sf_dir):
     """Weights on the scaled numeric features."""
     rows = _dense(spark, sf_dir)
-    model = logistic.fit(rows, logistic.SCALED)
-    return logistic.coefficients(model, rows, LI_ROLES.numeric)
+    model = logistic.fit(rows, replace(logistic.SCALED, tolerance=EXACT))
+    return rounded(logistic.coefficients(model, rows, LI_ROLES.numeric), "weight", digits=4)
+
+
+def _hashed(spark, sf_dir, training, roles):
+    """Weights on numeric and hashed level features of the whole layout, as a table by slot."""
+    frame = li(spark, sf_dir)
+    scaled = scaling.scale_minmax_filled(frame, summary.bounds_of(frame, roles.numeric))
+    entries = assembling.hash_features(scaled, roles)
+    width = assembling.HASH_BASE + (1 << assembling.HASH_BITS)
+    return sharded.fit(entries, training, width).coefficients()
 
 
 @query()
 def logreg_fit_hashed(spark, sf_dir):
-    """Weights on numeric and hashed level features: non-zero slots of the whole layout."""
-    scaled = scaling.scale_minmax_filled(
-        li(spark, sf_dir), summary.bounds_of(li(spark, sf_dir), LI_ROLES.numeric)
-    )
-    entries = assembling.hash_features(scaled, LI_ROLES)
-    numbered, slots = assembling.number_slots(entries.select("label", "entries"))
-    rows = logistic.store_sparse(
-        numbered.select("label", logistic.sparse_fields(F.col("entries"), len(slots)).alias("features"))
+    """All features: many levels are rare, so that weights have no closed form and go on growing."""
+    return _hashed(spark, sf_dir, logistic.HASHED, LI_ROLES).filter("feature <> '(intercept)'")
+
+
+_LINES = range(1, 8)
+_SLOTS = [*range(4), *(30 + (line + 4) for line in _LINES)]
+
+
+@query(
+    f"""WITH RECURSIVE {LI}, {_SCALED_LI},
+{_newton(11, "SELECT 0 AS part, y, x0, x1, x2, x3, "
+         + ", ".join(f"CAST(c3 = {line} AS DOUBLE) AS x{3 + line}" for line in _LINES)
+         + " FROM scaled")}
+"""
+    + " UNION ALL ".join(
+        f"SELECT 'slot_{slot}' AS feature, round(w{i}, 3) AS weight FROM fitted"
+        for i, slot in enumerate(_SLOTS)
     )
-    model = logistic.fit(rows, logistic.HASHED)
-    return logistic.coefficients(model, rows, lambda i: f"slot_{slots[i]}").filter("weight <> 0")
+)
+def logreg_fit_sharded(spark, sf_dir):
+    """Weights by slot of the whole hashed layout, on the numeric features and the levels of one column."""
+    roles = Roles("id", "label", LI_ROLES.numeric, ("c3",))
+    weights = _hashed(spark, sf_dir, replace(logistic.HASHED, tolerance=EXACT), roles)
+    return rounded(weights, "weight", digits=3)
 
 
-@query()
+@query(
+    """WITH RECURSIVE x AS (SELECT row_number() OVER () AS r, CAST(label > 4 AS DOUBLE) AS y,
+  list_append(CAST(embedding AS DOUBLE[]), 1.0::DOUBLE) AS v FROM embeddings),
+e AS (SELECT r, y, unnest(v) AS value, generate_subscripts(v, 1) AS i FROM x),
+q AS (SELECT i, sum(value * value) / 4 AS q FROM e GROUP BY i),
+step AS (SELECT 0 AS k, (SELECT list(0.0::DOUBLE) FROM q) AS w
+  UNION ALL SELECT k, list(moved ORDER BY i) FROM (
+    SELECT k + 1 AS k, i, any_value(w[i]) + sum((e.y - p) * value) / any_value(q) AS moved
+    FROM (SELECT k, w, r, 1 / (1 + exp(-list_dot_product(w, v))) AS p FROM step, x WHERE k < 80)
+    JOIN e USING (r) JOIN q USING (i) GROUP BY k, i) GROUP BY k),
+fitted AS (SELECT unnest(w) AS weight, generate_subscripts(w, 1) AS i FROM step WHERE k = 80)
+SELECT CASE WHEN i = (SELECT max(i) FROM q) THEN '(intercept)' ELSE 'x' || (i - 1) END AS feature,
+  round(weight, 4) AS weight FROM fitted"""
+)
 def logreg_fit_dense(spark, sf_dir):
     """Weights on labelled dense vectors: the upper half of the label values against the lower."""
     labelled = table(spark, sf_dir, "embeddings").select(
         recode_label(F.col("label"), F.col("label") > 4, 1.0, 0.0).alias("label"),
         logistic.dense_vector(F.col("embedding").cast("array<double>")).alias("features"),
     )
-    model = logistic.fit(labelled, logistic.DENSE)
-    return logistic.coefficients(model, labelled, [f"x{i}" for i in range(model.numFeatures)])
+    model = logistic.fit(labelled, replace(logistic.DENSE, tolerance=EXACT))
+    names = [f"x{i}" for i in range(model.numFeatures)]
+    return rounded(logistic.coefficients(model, labelled, names), "weight", digits=4)
 
 
-@query()
-def repeated_holdout(spark, sf_dir):
-    """Log loss of three hold-out splits, on both parts."""
-    return logistic.repeated_holdout(_dense(spark, sf_dir), "id", logistic.SCALED, repeats=3)
+_FITTED_P = "1 / (1 + exp(-(w0 * x0 + w1 * x1 + w2 * x2 + w3 * x3 + w4 * x4)))"
+_CLAMPED = f"least(greatest({_FITTED_P}, 1e-5), 1 - 1e-5)"
 
 
-EXACT = 1e-10
+@query(
+    f"""WITH RECURSIVE {LI}, {_SCALED_LI},
+split AS (SELECT seed AS part, scaled.*,
+  ('0x' || substr(md5(seed || ':' || id), 1, 8))::BIGINT % 10000 < 7500 AS train
+  FROM scaled, (SELECT unnest([1, 2, 3]) AS seed)),
+{_newton(5, "SELECT * FROM split WHERE train")},
+losses AS (SELECT part, train, -y * ln({_CLAMPED}) - (1 - y) * ln(1 - {_CLAMPED}) AS loss
+  FROM split JOIN fitted USING (part))
+SELECT CAST(part AS INTEGER) AS seed, round(avg(loss) FILTER (WHERE train), 6) AS train_loss,
+  round(avg(loss) FILTER (WHERE NOT train), 6) AS test_loss FROM losses GROUP BY part"""
+)
+def repeated_holdout(spark, sf_dir):
+    """Log loss of three hold-out splits, on both parts, trained side by side."""
+    training = replace(logistic.SCALED, tolerance=EXACT)
+    losses = batched.repeated_holdout(_dense(spark, sf_dir), "id", training, repeats=3)
+    return rounded(losses, "train_loss", "test_loss")
 
 
 def _optimal(rows, training, names):

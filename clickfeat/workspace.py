@@ -49,7 +49,12 @@ def small_table(spark: SparkSession, names: Sequence[str], types: Sequence, rows
     return spark.createDataFrame(pa.table(arrays, names=list(names)))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete one kept table. Frames that read it stop working."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this process has kept. Frames that read them stop working."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, shared_dir(spark))

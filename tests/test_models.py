@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickfeat import NaiveBayes, Roles
 from clickfeat.functions.numeric import sigmoid
-from clickfeat.models import evaluation, logistic
+from clickfeat.models import batched, evaluation, logistic, sharded
 from clickfeat.operators import assembling
 
 
@@ -55,7 +55,7 @@ def test_weights_that_are_not_zero(labelled):
 
 
 def test_repeated_holdout(labelled):
-    losses = logistic.repeated_holdout(labelled, "id", logistic.NUMBERS, repeats=2).collect()
+    losses = batched.repeated_holdout(labelled, "id", logistic.NUMBERS, repeats=2).collect()
     assert [r["seed"] for r in losses] == [1, 2]
     assert all(0.3 < r["test_loss"] < 0.69 for r in losses)
 
@@ -119,24 +119,121 @@ def test_sigmoid_saturates(spark):
     assert [r[0] for r in df.select(sigmoid(F.col("m"))).collect()] == [0.0, 0.5, 1.0]
 
 
-def test_hashed_weights_keep_the_whole_layout(spark):
-    import pytest
+ENTRIES = "array<struct<slot:bigint,value:double>>"
+FAR = 30 + (1 << 27) - 1
 
-    from clickfeat.operators import assembling
-    from clickfeat.queries.models import logreg_fit_hashed
 
-    far = [(0, 1.0), (30 + (1 << 20), 2.0)], [(30 + (1 << 26), 1.0)], []
-    df = spark.createDataFrame([(i, e) for i, e in enumerate(far)], "n int, entries array<struct<slot:bigint,value:double>>")
-    numbered, slots = assembling.number_slots(df)
-    assert slots == [0, 30 + (1 << 20), 30 + (1 << 26)]
-    got = {r["n"]: sorted((slots[e["slot"]], e["value"]) for e in r["entries"]) for r in numbered.collect()}
-    assert got == dict(enumerate(far))
-    folder = __import__("pathlib").Path("/root/testdata/sf0.001")
-    if not folder.exists():
-        pytest.skip("test tables are absent")
-    weights = {r["feature"] for r in logreg_fit_hashed(spark, str(folder)).collect()}
-    from clickfeat.queries.frames import LI_ROLES, li
-
-    entries = assembling.hash_features(li(spark, str(folder)), LI_ROLES).selectExpr("inline(entries)").select("slot")
-    known = {f"slot_{r['slot']}" for r in entries.distinct().collect()}
-    assert weights <= known | {"(intercept)"}
+@pytest.fixture(scope="module")
+def spread(spark):
+    """Rows with a numeric slot, and levels in slots at both ends of the hashed layout."""
+    random.seed(3)
+    rows = []
+    for i in range(1500):
+        x, level, rare = random.uniform(-1, 1), random.randrange(4), random.randrange(40)
+        m = 1.5 * x + (level - 1.5) + 0.05 * (rare - 20)
+        label = float(random.random() < 1 / (1 + math.exp(-m)))
+        rows.append((label, [(0, x), (FAR - level, 1.0), (1000 + rare, 1.0)]))
+    rows += [(1.0, []), (0.0, None)]
+    return spark.createDataFrame(rows, f"label double, entries {ENTRIES}")
+
+
+def _plain_newton(rows, slots, l2, intercept):
+    """Weights by numpy on dense rows."""
+    import numpy as np
+
+    at = {s: i for i, s in enumerate(slots)}
+    x = np.zeros((len(rows), len(slots)))
+    for i, r in enumerate(rows):
+        for e in r["entries"] or []:
+            x[i, at[e["slot"]]] += e["value"]
+    if intercept:
+        x[:, at[sharded.INTERCEPT]] = 1
+    y = np.array([r["label"] for r in rows])
+    penalty = np.array([0.0 if s == sharded.INTERCEPT else l2 for s in slots])
+    w = np.zeros(len(slots))
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (p - y) / len(y) + penalty * w
+        curve = (x.T * (p * (1 - p))) @ x / len(y) + np.diag(penalty)
+        w -= np.linalg.solve(curve, slope)
+    return dict(zip(slots, w)), x @ w
+
+
+@pytest.mark.parametrize("hot_share", [0.2, 2.0])  # some slots are hot, none
+def test_sharded_weights_equal_newtons(spread, hot_share):
+    """With a penalty and an intercept, whose weight is not penalised."""
+    training = logistic.Training(intercept=True, iterations=25, l2=0.01, tolerance=1e-9)
+    model = sharded.fit(spread, training, FAR + 1, hot_share=hot_share)
+    rows = spread.collect()
+    slots = sorted({e["slot"] for r in rows for e in r["entries"] or []} | {sharded.INTERCEPT})
+    want, margins = _plain_newton(rows, slots, 0.01, True)
+    got = {r["slot"]: r["weight"] for r in model.weights.collect()}
+    assert got == pytest.approx(want, abs=2e-4)
+    assert model.losses == sorted(model.losses, reverse=True) and model.numFeatures == FAR + 1
+    scored = sharded.score(spread, model, hot_share=max(hot_share, 0.01)).collect()
+    by_row = {str(r["entries"]): r["p"] for r in scored}
+    for r, m in zip(rows, margins):
+        assert by_row[str(r["entries"])] == pytest.approx(1 / (1 + math.exp(-m)), abs=1e-3)
+    assert all((r["p"] > 0.5) == (r["p_class"] == 1.0) for r in scored)
+
+
+def test_sharded_training_of_odd_tables(spark, spread):
+    few = logistic.Training(intercept=False, iterations=6)
+    none = sharded.fit(spread.limit(0), few, 100)
+    assert none.weights.count() == 0 and none.losses == []
+    assert {r["p"] for r in sharded.score(spread, none).select("p").distinct().collect()} == {0.5}
+    empty = spark.createDataFrame([(1.0, []), (0.0, None)], f"label double, entries {ENTRIES}")
+    assert sharded.fit(empty, few, 100).weights.count() == 0
+    # Equal slots of a row add up, zeros teach nothing, and one class only drives weights up, not to infinity.
+    odd = spark.createDataFrame([(1.0, [(7, 1.0), (7, 1.0), (8, 0.0)])] * 5, f"label double, entries {ENTRIES}")
+    weights = {r["slot"]: r["weight"] for r in sharded.fit(odd, few, 100).weights.collect()}
+    assert weights[8] == 0 and 0.5 < weights[7] < 100
+    unseen = spark.createDataFrame([(1.0, [(99, 5.0)])], f"label double, entries {ENTRIES}")
+    assert sharded.score(unseen, none).first()["p"] == 0.5
+
+
+def test_batched_training_equals_one_by_one(labelled):
+    """Subsets of any size, one of them empty; dense and sparse rows mixed; a penalty."""
+    import numpy as np
+
+    training = logistic.Training(intercept=True, iterations=100, l2=0.02, tolerance=1e-12)
+    subsets = [F.col("id") % 3 == 0, F.col("id") < 2000, F.lit(False), F.lit(None).cast("boolean")]
+    dense = labelled.select("label", "features", "id")
+    entries = assembling.assemble_sparse(labelled, Roles("id", "label", ("a", "b"), ()))
+    sparse = logistic.store_sparse(
+        entries.select("label", logistic.sparse_fields(F.col("entries"), 2).alias("features"), "id")
+    )
+    mixed = dense.filter("id % 2 = 0").unionByName(sparse.filter("id % 2 = 1"))
+    rows = batched.store_rows(mixed, subsets)
+    weights = batched.fit_many(rows, training)
+    for at, subset in enumerate(subsets[:2]):
+        model = logistic.fit(dense.filter(subset), training)
+        assert weights[at] == pytest.approx([*model.coefficients, model.intercept], abs=1e-4)
+    assert not weights[2:].any()
+    losses = batched.log_losses(rows, weights, True, 1e-5)
+    model = logistic.fit(dense.filter(subsets[0]), training)
+    for part, got in zip((subsets[0], ~subsets[0]), losses[0]):
+        scored = logistic.score(dense.filter(part), model)
+        assert got == pytest.approx(scored.agg(evaluation.log_loss(eps=1e-5)).first()[0], abs=1e-6)
+    assert losses[2][0] is None and losses[2][1] == pytest.approx(np.log(2))
+    rows.drop()
+
+
+def test_scans_do_not_grow_with_the_seeds(labelled, monkeypatch):
+    passes = []
+    real = batched._pass
+    monkeypatch.setattr(batched, "_pass", lambda *a: passes.append(1) or real(*a))
+    counts = []
+    for repeats in (1, 6):
+        passes.clear()
+        batched.repeated_holdout(labelled, "id", logistic.SCALED, repeats=repeats)
+        counts.append(len(passes))
+    assert counts[1] <= counts[0] + 5
+
+
+def test_stored_vectors_have_the_form_that_is_read(spark):
+    """Batched training and sparse storing rely on how Spark stores vectors."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+
+    assert T.StructType(VectorUDT.sqlType().fields).simpleString() == batched.STORED_VECTOR
