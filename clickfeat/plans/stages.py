@@ -10,6 +10,7 @@ and one level table, whatever their number.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import ClassVar
@@ -23,30 +24,67 @@ from clickfeat.operators import encoding, imputing, scaling
 from clickfeat.operators.levels import LevelTable, level_counts, target_rates
 from clickfeat.operators.summary import bounds_of, means_of
 from clickfeat.roles import Roles
-from clickfeat.workspace import small_table
+from clickfeat.plans.state import TableState
+from clickfeat.workspace import commit, committed, small_table
 
 
 class Known:
     """What is known about the running table while stages are fitted."""
 
     def __init__(self, df: DataFrame, roles: Roles):
-        self.df = df
+        self._df: DataFrame | None = df
         self.roles = roles
         self._corners: DataFrame | None = None
         self._counts: LevelTable | None = None
+        self._state: TableState | None = None
+
+    @classmethod
+    def of_state(cls, state: TableState) -> Known:
+        """What the state of a table tells; stages that need its rows can't be fitted."""
+        known = cls(None, state.roles)
+        known._state, known._counts = state, state.counts
+        known._set_corners(state.levels.sparkSession, state.bounds())
+        return known
+
+    @property
+    def df(self) -> DataFrame:
+        if self._df is None:
+            raise ValueError("the state of a table doesn't tell what this stage needs after the stages before")
+        return self._df
 
     def bounds(self) -> dict[str, tuple]:
         """Bounds of the label and the numeric features."""
         names = (self.roles.label, *self.roles.numeric)
         bounds = bounds_of(self.df if self._corners is None else self._corners, names)
         if self._corners is None:
-            lows, highs, gaps = ([bounds[c][k] for c in names] for k in range(3))
-            gapped = [None if gap else low for low, gap in zip(lows, gaps)]
-            self._corners = small_table(
-                self.df.sparkSession, names, [pa.float64()] * len(names), [lows, highs, gapped]
-            )
+            self._set_corners(self.df.sparkSession, bounds)
         return bounds
 
+    def _set_corners(self, spark: SparkSession, bounds: dict[str, tuple]) -> None:
+        names = (self.roles.label, *self.roles.numeric)
+        lows, highs, gaps = ([bounds[c][k] for c in names] for k in range(3))
+        gapped = [None if gap else low for low, gap in zip(lows, gaps)]
+        self._corners = small_table(spark, names, [pa.float64()] * len(names), [lows, highs, gapped])
+
+    def means(self) -> dict[str, float | None]:
+        """Means of the label and the numeric features."""
+        if self._state is not None:
+            return self._state.means()
+        return means_of(self.df, (self.roles.label, *self.roles.numeric))
+
+    def label_mean(self) -> float | None:
+        """Over all rows; a missing label counts as 0."""
+        if self._state is not None:
+            return self._state.label_mean()
+        label = F.coalesce(F.col(self.roles.label).cast("double"), F.lit(0.0))
+        return self.df.agg(F.avg(label).alias("mean")).first()["mean"]
+
+    def label_counts(self) -> DataFrame:
+        """Counts of the present levels with label sums."""
+        if self._counts is not None and "label_sum" in self._counts.frame.columns:
+            return self._counts.frame.filter(F.col("value").isNotNull())
+        return level_counts(self.df, self.roles, keep_missing=False, by_label=True)
+
     def counts(self) -> LevelTable:
         """Level counts of the categorical features, missing included."""
         if not self.roles.categorical:
@@ -56,7 +94,14 @@ class Known:
         return self._counts
 
     def advance(self, fitted: Fitted) -> None:
-        self.df = fitted.transform(self.df)
+        if self._df is not None:
+            self._df = fitted.transform(self._df)
+        if self._state is not None and isinstance(fitted, FittedFill) and fitted.value:
+            if self._state.bounds()[self.roles.label][2]:
+                # Missing labels are counted as 0, but are no longer missing.
+                self._counts = LevelTable(self._counts.frame.drop("n0", "n1", "label_sum"))
+        if fitted.numeric:
+            self._state = None  # its means are those of the table before
         if isinstance(fitted, FittedRates):
             # Label means are numbers: later stages take these columns as numeric features.
             numeric = (*self.roles.numeric, *self.roles.categorical)
@@ -203,7 +248,7 @@ class Impute:
     """Numeric columns by mean, categorical features by mode."""
 
     def fit(self, known: Known) -> Fitted:
-        values: dict = means_of(known.df, (known.roles.label, *known.roles.numeric))
+        values: dict = known.means()
         values.update(dict.fromkeys(known.roles.categorical))
         if known.roles.categorical:
             values.update(known.counts().modes())
@@ -237,12 +282,8 @@ class EncodeTarget:
     unseen: str = "raw"
 
     def fit(self, known: Known) -> Fitted:
-        counts = level_counts(known.df, known.roles, keep_missing=False, by_label=True)
-        prior = None
-        if self.unseen == "prior":
-            label = F.coalesce(F.col(known.roles.label).cast("double"), F.lit(0.0))
-            prior = known.df.agg(F.avg(label).alias("prior")).first()["prior"]
-        table = LevelTable.keep(target_rates(counts))
+        prior = known.label_mean() if self.unseen == "prior" else None
+        table = LevelTable.keep(target_rates(known.label_counts()))
         return FittedRates(known.roles, table, self.unseen, prior)
 
 
@@ -269,8 +310,13 @@ class FittedStages:
         return df
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Write the fitted state as parquet: one row per stage, one level table where it has one."""
-        rows = []
+        """Write the fitted state as parquet: one row per stage, one level table where it has one.
+
+        Everything goes to a new folder under ``path``, which a mark names once all is written. So a save that was
+        cut off is refused on load and can be repeated.
+        """
+        run = f"saved-{uuid.uuid4().hex}"
+        rows, top, path = [], path, f"{path}/{run}"
         for i, stage in enumerate(self.stages):
             schema = None
             if stage.levels is not None:
@@ -280,15 +326,13 @@ class FittedStages:
             rows.append((i, type(stage).__name__, state, schema, roles))
         types = "position int, kind string, state string, level_schema string, roles string"
         spark.createDataFrame(rows, types).coalesce(1).write.parquet(f"{path}/stages")
+        commit(spark, top, {"folder": run})
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FittedStages:
-        stages = []
+        stages, path = [], f"{path}/{committed(spark, path)['folder']}"
         for row in spark.read.parquet(f"{path}/stages").orderBy("position").collect():
-            named = json.loads(row["roles"])
-            roles = Roles(
-                named["id"], named["label"], tuple(named["numeric"]), tuple(named["categorical"])
-            )
+            roles = Roles.from_dict(json.loads(row["roles"]))
             state = json.loads(row["state"])
             if row["level_schema"] is not None:
                 schema = StructType.fromJson(json.loads(row["level_schema"]))
@@ -304,7 +348,14 @@ class Stages:
     stages: Sequence
 
     def fit(self, df: DataFrame, roles: Roles) -> FittedStages:
-        known, fitted = Known(df, roles), []
+        return self._fit(Known(df, roles))
+
+    def fit_state(self, state: TableState) -> FittedStages:
+        """Fit on the state of a table, or of several merged, as on the rows themselves."""
+        return self._fit(Known.of_state(state))
+
+    def _fit(self, known: Known) -> FittedStages:
+        roles, fitted = known.roles, []
         for stage in self.stages:
             fitted.append(stage.fit(known))
             known.advance(fitted[-1])

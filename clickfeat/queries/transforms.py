@@ -29,6 +29,7 @@ from clickfeat.queries.frames import (
     query,
     rounded,
 )
+from clickfeat.plans.state import TableState
 from clickfeat.sinks.text import sparse_line
 from clickfeat.workspace import new_path
 
@@ -269,6 +270,35 @@ def default_preparation(spark, sf_dir):
     return rounded(prepared, *_NUMERIC)
 
 
+def _merged_state(spark, sf_dir):
+    """The state of the line item frame, from saved states of three parts of it."""
+    frame, states = li(spark, sf_dir), []
+    for part in splitting.split_hash(frame, "id", [0.5, 0.3, 0.2], seed=11):
+        path = new_path(spark, "part-state")
+        TableState.of(part, LI_ROLES).save(spark, path)
+        states.append(TableState.load(spark, path))
+    return states[0].merge(*states[1:])
+
+
+@query(_stages_sql("SELECT * FROM li", 30, log=True))
+def stages_from_merged_state(spark, sf_dir):
+    """The default stages, fitted on merged states without reading their rows again."""
+    fitted = default_stages(more_than=30).fit_state(_merged_state(spark, sf_dir))
+    return rounded(fitted.transform(li(spark, sf_dir)), *_NUMERIC)
+
+
+@query(
+    f"{_LEVELS}, {_RATES} SELECT r.col, r.value, round(rate, 6) AS rate, n, n0, n1"
+    " FROM rates r JOIN lc ON lc.col = r.col AND lc.value = r.value"
+)
+def target_rates_merged(spark, sf_dir):
+    """Label means and class counts of every level, from merged states."""
+    state = _merged_state(spark, sf_dir)
+    classes = state.counts.frame.select("col", "value", "n0", "n1")
+    rates = state.rates.frame.select("col", "value", "rate", "n")
+    return rounded(rates.join(classes, ["col", "value"]), "rate")
+
+
 @query(_stages_sql("SELECT * FROM li", 28, log=False))
 def stages_fit_transform(spark, sf_dir):
     stages = Stages([FillMissing(0), Scale("minmax"), DropRareLevels(28), IndexLevels()])

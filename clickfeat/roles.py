@@ -48,6 +48,11 @@ class Roles:
             categorical=tuple(n for n in rest if kinds[n] == CATEGORICAL),
         )
 
+    @classmethod
+    def from_dict(cls, named: dict) -> Roles:
+        """Roles from their saved form."""
+        return cls(named["id"], named["label"], tuple(named["numeric"]), tuple(named["categorical"]))
+
     @property
     def features(self) -> tuple[str, ...]:
         return self.numeric + self.categorical

@@ -7,6 +7,7 @@ loss of executors.
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -49,6 +50,39 @@ def small_table(spark: SparkSession, names: Sequence[str], types: Sequence, rows
     return spark.createDataFrame(pa.table(arrays, names=list(names)))
 
 
+_MARK = "committed.json"
+
+
+def commit(spark: SparkSession, path: str, mark: dict) -> None:
+    """Write the mark of a saved state: last, once all that it names is there. A newer one replaces it."""
+    text = json.dumps({**mark, "end": True}).encode()
+    file = spark._jvm.org.apache.hadoop.fs.Path(path, _MARK)
+    out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+    try:
+        out.write(text)
+    finally:
+        out.close()
+
+
+def committed(spark: SparkSession, path: str) -> dict:
+    """The mark of a saved state. A state without a whole mark was not saved to the end."""
+    rows = spark.read.text(f"{path}/{_MARK}", wholetext=True) if _has(spark, f"{path}/{_MARK}") else None
+    text = rows.first()["value"] if rows is not None else ""
+    try:
+        mark = json.loads(text)
+    except ValueError:
+        mark = {}
+    if not mark.get("end"):
+        raise ValueError(f"{path} holds no state that was saved to the end")
+    return mark
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(file) and system.getFileStatus(file).getLen() > 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete one kept table. Frames that read it stop working."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
