@@ -94,3 +94,43 @@ def number_rows(stored: DataFrame, order: Sequence[Column | str], name: str, **k
     """Number the rows of a stored table from 0 in its order."""
     numbered = running_totals(stored, order, {name: F.lit(1)}, **kw)
     return numbered.withColumn(name, F.col(name) - 1)
+
+
+FILE, POSITION = "file", "position"
+
+
+def file_positions(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Rows read from files, with the file's name and the row's position in it, from 0.
+
+    ``name`` adds the row's number over all files, in the order of their paths. Nothing is sorted or shuffled
+    and no order key is needed: one pass counts the rows of each block of a file, and a block's start is
+    broadcast (a row for each block that a task reads at once). The position does not depend on how files
+    are cut into blocks. Where the second pass cuts them otherwise than the first, it fails rather than give wrong numbers.
+
+    ``df`` must come straight from a reader, before any filter, with columns of its choice.
+    """
+    placed = df.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__id"),
+    )
+    counts = (
+        placed.groupBy("__path", "__block").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first")).collect()
+    )
+    starts, so_far, path, in_file = [], 0, None, 0
+    for row in sorted(counts, key=lambda r: (r["__path"], r["__block"])):
+        path, in_file = row["__path"], in_file if row["__path"] == path else 0
+        starts.append((*row, in_file, so_far))
+        in_file, so_far = in_file + row["n"], so_far + row["n"]
+    names = ["__path", "__block", "__n", "__first", "__in_file", "__so_far"]
+    kinds = [pa.string(), *[pa.int64()] * 5]
+    table = small_table(df.sparkSession, names, kinds, starts)
+    found = placed.join(F.broadcast(table), ["__path", "__block"], "left")
+    within = F.col("__id") - F.col("__first")
+    cut_otherwise = F.raise_error(F.lit("files were cut into other blocks than when they were counted"))
+    within = F.when((within >= 0) & (within < F.col("__n")), within).otherwise(cut_otherwise)
+    added = {FILE: F.regexp_extract("__path", "[^/]*$", 0), POSITION: F.col("__in_file") + within}
+    if name is not None:
+        added[name] = F.col("__so_far") + within
+    return found.withColumns(added).drop(*names, "__id")

@@ -8,6 +8,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickfeat.operators.ordering import FILE, POSITION
+
 BUCKETS = 10_000
 
 
@@ -52,6 +54,15 @@ def split_random(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
     return [df.filter(part == i) for i in range(len(weights))]
 
 
+def row_part(weights: Sequence[float], seed: int) -> Column:
+    """The part of a row by a hash of where it stands in its file, for rows of :func:`file_positions`.
+
+    Equal rows are drawn one by one. The part depends on file name, position and seed alone, so a retried task
+    or another cluster gives the same.
+    """
+    return part_of(F.concat_ws(":", FILE, POSITION), weights, seed)
+
+
 def split_counts(df: DataFrame, key: str, weights: Sequence[float], seed: int = 0) -> DataFrame:
     """Rows of the table and of every part, in one pass: ``total, part_0, part_1, ...``."""
     part = part_of(F.col(key), weights, seed)

@@ -13,8 +13,9 @@ from clickfeat.models.evaluation import log_loss, precision_recall
 from clickfeat.operators import assembling, encoding, scaling, splitting, summary
 from clickfeat.operators.imputing import fill_column_mean, fill_values
 from clickfeat.operators.levels import LevelTable, level_counts
+from clickfeat.operators.ordering import file_positions
 from clickfeat.plans.stages import EncodeTarget, FittedStages, Impute, Stages, default_stages
-from clickfeat.sinks.text import csv_line, rate_line, sparse_line, vw_line, write_lines
+from clickfeat.sinks.text import csv_line, rate_line, sparse_line, vw_line, write_lines, write_parts
 from clickfeat.sources.csv import (
     parse_labelled_dense,
     parse_nullable_integers,
@@ -80,9 +81,8 @@ def csv_to_sparse_text(
     fitted = default_stages().fit(df, roles)
     assembled = assembling.assemble_sparse(fitted.transform(df), roles)
     line = sparse_line(F.col(roles.label), F.col(assembling.ENTRIES))
-    parts = splitting.split_hash(assembled, roles.id, [0.75, 0.25], seed)
-    for part, out in zip(parts, (out_train, out_test)):
-        write_lines(part, line, out, files)
+    part = splitting.part_of(F.col(roles.id), [0.75, 0.25], seed)
+    write_parts(assembled, line, part, (out_train, out_test), files)
     return fitted.stages[-1].size
 
 
@@ -146,10 +146,9 @@ def split_lines(
     spark: SparkSession, source: str, out_1: str, out_2: str, files: int | None = None,
     seed: int = 100,
 ) -> None:
-    """Split a text file .85/.15 at random, without header lines."""
-    parts = splitting.split_random(without_headers(read_lines(spark, source)), [0.85, 0.15], seed)
-    for part, out in zip(parts, (out_1, out_2)):
-        write_lines(part, F.col("line"), out, files)
+    """Split a text file .85/.15 at random, line by line, without header lines."""
+    lines = without_headers(file_positions(read_lines(spark, source)))
+    write_parts(lines, F.col("line"), splitting.row_part([0.85, 0.15], seed), (out_1, out_2), files)
 
 
 def _train(df: DataFrame, key: str, label: str, training, weights, seed):

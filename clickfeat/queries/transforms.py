@@ -8,6 +8,7 @@ from clickfeat.functions.numeric import recode_label as recode
 from clickfeat.operators import assembling, encoding, imputing, scaling, splitting, summary
 from clickfeat.operators.levels import LevelTable
 from clickfeat.operators.levels import level_counts as count_levels
+from clickfeat.operators.ordering import file_positions
 from clickfeat.plans.stages import (
     DropRareLevels,
     EncodeTarget,
@@ -28,6 +29,7 @@ from clickfeat.queries.frames import (
     li,
     query,
     rounded,
+    table,
 )
 from clickfeat.plans.state import TableState
 from clickfeat.sinks.text import sparse_line
@@ -431,6 +433,25 @@ def split_random(spark, sf_dir):
     return li(spark, sf_dir).withColumn("part", part)
 
 
+@query("SELECT event_id, event_type, event_id AS number FROM events")
+def file_row_numbers(spark, sf_dir):
+    """Rows numbered in the order they are stored; the table's ids say where each one stands."""
+    stored = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return file_positions(stored, "number").select("event_id", "event_type", "number")
+
+
+@query(
+    """SELECT event_id, event_type,
+  CASE WHEN ('0x' || substr(md5('5:events.parquet:' || event_id), 1, 8))::BIGINT % 10000 < 8500
+    THEN 0 ELSE 1 END AS part FROM events"""
+)
+def split_rows(spark, sf_dir):
+    """A random split .85/.15 of rows, not of values: equal rows are drawn one by one."""
+    stored = table(spark, sf_dir, "events").select("event_id", "event_type")
+    rows = file_positions(stored).withColumn("part", splitting.row_part([0.85, 0.15], 5))
+    return rows.select("event_id", "event_type", "part")
+
+
 @query(
     f"{_ENCODED} SELECT id, label, "
     + ", ".join(

@@ -5,6 +5,7 @@ Each formatter gives one string column, so a line is built by expressions inside
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -59,3 +60,39 @@ def write_lines(df: DataFrame, line: Column, path: str, files: int | None = None
     """Write one text line per row. ``files`` asks for a fixed file count; default is parallel."""
     lines = df.select(line.alias("value"))
     (lines if files is None else lines.repartition(files)).write.text(path)
+
+
+def write_parts(
+    df: DataFrame, line: Column, part: Column, paths: Sequence[str], files: int | None = None,
+    lines_per_file: int = 0,
+) -> None:
+    """Write the rows of part ``i`` to ``paths[i]``, all parts in one job that plans the input once.
+
+    The job writes a folder for each part beside the first path; these are moved into place once all are whole.
+    ``files`` asks for at most so many files a part, ``lines_per_file`` bounds a file's lines. Paths must be
+    new and on one file system.
+    """
+    spark = df.sparkSession
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    targets = [path_of(p) for p in paths]
+    system = targets[0].getFileSystem(conf)
+    taken = [p for p, target in zip(paths, targets) if system.exists(target)]
+    if taken:
+        raise FileExistsError(f"there already: {taken}")
+    staging = f"{paths[0].rstrip('/')}.parts-{uuid.uuid4().hex}"
+    lines = df.select(part.cast("int").alias("part"), line.alias("value"))
+    lines = lines if files is None else lines.repartition(files)
+    writer = lines.write.partitionBy("part")
+    if lines_per_file:
+        writer = writer.option("maxRecordsPerFile", lines_per_file)
+    writer.text(staging)
+    try:
+        for i, target in enumerate(targets):
+            made = path_of(f"{staging}/part={i}")
+            if target.getParent() is not None:
+                system.mkdirs(target.getParent())
+            if not (system.rename(made, target) if system.exists(made) else system.mkdirs(target)):
+                raise OSError(f"can't move part {i} to {paths[i]}")
+            system.create(path_of(paths[i], "_SUCCESS"), True).close()
+    finally:
+        system.delete(path_of(staging), True)
