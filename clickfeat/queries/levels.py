@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clickfeat.operators import levels as lv
-from clickfeat.operators import summary
+from clickfeat.operators import sketches, splitting, summary
 from clickfeat.operators.splitting import split_counts as count_parts
 from clickfeat.queries.frames import LI, LI_ROLES, counts, li, query, rounded
+from clickfeat.workspace import small_table
 
 _LEVELS = f"WITH {LI}, {counts('li', LI_ROLES)}"
 _ALL_LEVELS = f"WITH {LI}, {counts('li', LI_ROLES, missing=True)}"
@@ -40,6 +42,25 @@ def level_modes(spark, sf_dir):
     return summary.level_modes(li(spark, sf_dir), LI_ROLES)
 
 
+@query(
+    f"""{_LEVELS} SELECT pos, col, arg_max(value, (n, -value)) AS mode, max(n) AS mode_n
+FROM lc GROUP BY pos, col"""
+)
+def level_modes_sketched(spark, sf_dir):
+    """Candidates by heavy hitters, then exact counts of those."""
+    return sketches.heavy_modes(li(spark, sf_dir), LI_ROLES)
+
+
+@query(f"{_LEVELS} SELECT col, count(*) < 100 AS below FROM lc GROUP BY col")
+def columns_below_sketched(spark, sf_dir):
+    """Columns of fewer than 100 levels, by sketches of two parts; one column is at the bound."""
+    frame = li(spark, sf_dir)
+    parts = [sketches.level_sketches(p, LI_ROLES) for p in splitting.split_hash(frame, "id", [1, 1])]
+    below = sketches.columns_below(frame, LI_ROLES, 100, sketches.merge_sketches(*parts))
+    rows = [(c, c in below) for c in LI_ROLES.categorical]
+    return small_table(spark, ["col", "below"], [pa.string(), pa.bool_()], rows)
+
+
 @query(f"WITH {LI} {_NUMBERS}")
 def numeric_summary(spark, sf_dir):
     frame = summary.numeric_summary(li(spark, sf_dir), LI_ROLES)
