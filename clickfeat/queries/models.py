@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from clickfeat.functions.numeric import recode_label
-from clickfeat.models import batched, evaluation, logistic, sharded
+from clickfeat.models import batched, curves, evaluation, logistic, sharded
 from clickfeat.models.bayes import NaiveBayes, scores_above
 from clickfeat.operators import assembling, scaling, summary
 from clickfeat.operators.levels import LevelTable, level_counts
@@ -78,6 +78,21 @@ def precision_recall_curve(spark, sf_dir):
     return rounded(evaluation.precision_recall(scored), "precision", "recall")
 
 
+@query(
+    f"""WITH {LI}, s AS (SELECT i2 / 200000 AS p, label, row_number() OVER (ORDER BY i2 DESC) AS rank,
+  count(*) OVER () AS n FROM li),
+t AS (SELECT DISTINCT p AS threshold FROM s
+  WHERE rank IN (SELECT (i * n + 49) // 50 FROM (SELECT unnest(range(1, 51)) AS i, (SELECT count(*) FROM li) AS n)))
+SELECT threshold, count(*) AS taken, round(avg(label), 6) AS precision,
+  round(sum(label) / (SELECT sum(label) FROM li), 6) AS recall
+FROM t JOIN s ON p >= threshold GROUP BY threshold"""
+)
+def precision_recall_points(spark, sf_dir):
+    """The same at the scores of 50 evenly spaced ranks."""
+    scored = li(spark, sf_dir).select("label", (F.col("i2") / 200000).alias("p"))
+    return rounded(curves.precision_recall_at(scored, 50), "precision", "recall")
+
+
 @query(
     f"""{_SCORED}, c AS (SELECT CASE WHEN p > 0.3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS threshold,
   label FROM s), g AS (SELECT threshold, count(*) AS n, sum(label) AS hits FROM c GROUP BY 1),
