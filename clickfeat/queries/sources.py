@@ -12,6 +12,7 @@ from clickfeat.operators.levels import LevelTable, level_counts
 from clickfeat.operators.ordering import number_rows, store_in_order
 from clickfeat.operators.splitting import random_part
 from clickfeat.operators.summary import level_cardinality
+from clickfeat.plans.jobs import split_lines as split_files
 from clickfeat.plans.stages import FittedStages, Impute, IndexLevels, Stages
 from clickfeat.queries.frames import (
     EV,
@@ -26,12 +27,13 @@ from clickfeat.queries.frames import (
     table,
 )
 from clickfeat.roles import CATEGORICAL
-from clickfeat.sinks.text import csv_line, rate_line, sparse_line, vw_line
+from clickfeat.sinks.text import csv_line, rate_line, sparse_line, vw_line, write_lines
 from clickfeat.sources.csv import (
     parse_labelled_dense,
     parse_nullable_integers,
     parse_numbers,
     parse_typed,
+    read_lines,
     without_headers,
 )
 from clickfeat.workspace import new_path
@@ -77,8 +79,7 @@ _TYPED_LINES_SQL = f"""WITH {EV}, all_lines AS (
 lines AS (SELECT line FROM all_lines WHERE line NOT LIKE 'Id%')"""
 
 
-@query(
-    f"""{_TYPED_LINES_SQL},
+_TYPED_SQL = f"""{_TYPED_LINES_SQL},
 f AS (SELECT string_split(line, ',') AS f FROM lines)
 SELECT ('0x' || NULLIF(trim(f[1]), ''))::BIGINT AS "Id",
   CAST(NULLIF(trim(f[2]), '') AS DOUBLE) AS "Label",
@@ -87,11 +88,36 @@ SELECT ('0x' || NULLIF(trim(f[1]), ''))::BIGINT AS "Id",
   ('0x' || NULLIF(trim(f[6]), ''))::BIGINT AS "C1",
   ('0x' || NULLIF(trim(f[7]), ''))::BIGINT AS "C2",
   ('0x' || NULLIF(trim(f[8]), ''))::BIGINT AS "C3" FROM f"""
-)
+
+
+@query(_TYPED_SQL)
 def src_typed_csv(spark, sf_dir):
     return parse_typed(typed_lines(spark, sf_dir), TYPED_HEADER.split(","))[0]
 
 
+def _files(spark, lines, name):
+    """The lines as a folder of text files in the shared folder."""
+    path = new_path(spark, name)
+    write_lines(lines, F.col("line"), path)
+    return path
+
+
+@query(_TYPED_SQL)
+def src_typed_files(spark, sf_dir):
+    """From text files, whose header line is looked for."""
+    path = _files(spark, typed_lines(spark, sf_dir), "typed-files")
+    return parse_typed(read_lines(spark, path))[0]
+
+
+@query(f"{_TYPED_LINES_SQL} SELECT line FROM lines")
+def split_text_files(spark, sf_dir):
+    """Text files split into two folders: both together hold every line but the headers, once."""
+    source = _files(spark, typed_lines(spark, sf_dir), "lines")
+    outs = [new_path(spark, "part") for _ in range(2)]
+    split_files(spark, source, *outs)
+    return read_lines(spark, outs[0]).unionByName(read_lines(spark, outs[1]))
+
+
 def integer_lines(spark, sf_dir):
     """The events frame as integer click CSV: decimal id, hex levels, untrimmed."""
     c = F.col
