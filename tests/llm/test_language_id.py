@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -56,3 +59,92 @@ def test_edges(documents, model):
     assert lid.identify(documents([]), model).collect() == []
     empty = lid.train(documents([(1, "text")]))
     assert lid.identify(docs, empty).first()["language"]["lang_pred"] == "und"
+
+
+def _plain_slots(word):
+    """Slots of a word's n-grams, its edges marked by blanks, one gram at a time."""
+    marked = f" {word} "
+    for n in lid.LENGTHS:
+        for at in range(len(marked) - n + 1):
+            gram = marked[at : at + n]
+            if gram == " ":
+                continue
+            value = n
+            for c in gram:
+                value = ((value ^ ord(c)) * 0x9E3779B1) % 2**32
+                value ^= value >> 15
+            yield value % lid.BUCKETS
+
+
+def _plain_words(text):
+    return "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+
+
+def _plain_mixture(likelihoods, weights, languages):
+    """Shares by expectation-maximisation on dictionaries, languages leaving while that pays."""
+    active = list(languages)
+    shares = {x: 1 / len(active) for x in active}
+    total, best = sum(weights.values()), None
+    tops = {w: max(of.values()) for w, of in likelihoods.items()}
+    chance = {w: {x: math.exp(of[x] - tops[w]) for x in languages} for w, of in likelihoods.items()}
+    while True:
+        for _ in range(lid.STEPS if len(active) > 1 else 0):
+            new = dict.fromkeys(active, 0.0)
+            for w, n in weights.items():
+                seen = {x: chance[w][x] * shares[x] for x in active}
+                whole = max(sum(seen.values()), 1e-300)
+                for x in active:
+                    new[x] += n * seen[x] / whole / total
+            change = max(abs(new[x] - shares[x]) for x in active)
+            sums = sum(new.values())
+            shares = {x: v / sums for x, v in new.items()}
+            if change < lid.SETTLED:
+                break
+        fit = sum(
+            n * math.log(max(sum(chance[w][x] * shares[x] for x in active), 1e-300)) for w, n in weights.items()
+        )
+        value = fit - lid.PENALTY * len(active) * math.log(total + 1)
+        if best is None or value > best[0]:
+            best = (value, dict(shares))
+        if len(active) == 1:
+            return best[1]
+        active.remove(min(active, key=shares.get))
+        kept = sum(shares[x] for x in active)
+        shares = {x: shares[x] / kept if kept > 0 else 1 / len(active) for x in active}
+
+
+def test_mixtures_equal_plain_python(small, model):
+    """Counts, likelihoods and the mixture of every document of the small table, without arrays."""
+    rows = small("documents").withColumn("out", lid.held_out()).collect()
+    counts: dict = {}
+    for r in rows:
+        if not r["out"] and r["lang"] is not None:
+            own = counts.setdefault(r["lang"], Counter())
+            for word, n in Counter(_plain_words(r["text"])).items():
+                for slot in _plain_slots(word):
+                    own[slot] += n
+    languages = sorted(counts)
+    assert languages == model.languages
+    sums = {x: sum(counts[x].values()) + lid.SMOOTHING * lid.BUCKETS for x in languages}
+    known: dict = {}
+
+    def likelihood(word):
+        if word not in known:
+            slots = list(_plain_slots(word))
+            known[word] = {
+                x: sum(math.log((counts[x][s] + lid.SMOOTHING) / sums[x]) for s in slots) * 4 / len(slots)
+                for x in languages
+            }
+        return known[word]
+
+    got = {r["doc_id"]: r["language"] for r in lid.identify(small("documents"), model).collect()}
+    for r in rows:
+        found = Counter(_plain_words(r["text"]))
+        if not found:
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        weights = {w: 1 + math.log(n) for w, n in found.items()}
+        shares = _plain_mixture({w: likelihood(w) for w in found}, weights, languages)
+        named = dict(zip(languages, got[r["doc_id"]]["shares"]))
+        assert named == pytest.approx({**dict.fromkeys(languages, 0.0), **shares}, abs=2e-3)
+        assert got[r["doc_id"]]["lang_pred"] == max(languages, key=lambda x: shares.get(x, 0.0))
