@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ WEIGHTS = (1, 2, 3)
 COPIES = 3
 #: Newton stops when every source's tokens are within this share of its target.
 TOLERANCE = 1e-9
-MAX_STEPS = 200
+#: From this step on every other one halves the interval, so that each source settles in the end.
+HALVING_FROM = 50
 
 
 def word_count(text: Column) -> Column:
@@ -99,7 +101,7 @@ def solve_tilts(histogram: DataFrame, targets: DataFrame, copies: int = COPIES)
         ),
         "tilts",
     )
-    for _ in range(MAX_STEPS):
+    for step in count():
         z = size / F.col("_mean")
         # Beyond these bounds the exponential is 0 or cut to the limit anyway.
         x = F.least(F.lit(top), F.greatest(F.lit(-700.0), F.col("_tilt") * z))
@@ -120,9 +122,12 @@ def solve_tilts(histogram: DataFrame, targets: DataFrame, copies: int = COPIES)
         gap = F.log(F.greatest(F.col("_got"), F.lit(1e-300)) / F.col("target"))
         newton = F.col("_tilt") - F.try_divide(gap * F.col("_got"), "_slope")
         inside = (F.col("_slope") > 0) & (newton > low) & (newton < high)
+        if step >= HALVING_FROM and step % 2:
+            inside = F.lit(False)
         off = F.abs(F.col("_got") - F.col("target")) / F.col("target")
         # At the limit there is nothing to gain; below the last digit kept there is nothing to solve.
-        done = (off <= TOLERANCE) | (high - low <= 1e-12)
+        width = F.greatest(F.lit(1.0), F.abs(low), F.abs(high))
+        done = (off <= TOLERANCE) | (high - low <= 1e-12 * width)
         state = keep(
             sums.select(
                 "_source",

@@ -93,3 +93,13 @@ def test_null_ids_and_repeated_rows(documents):
     docs = documents([(None, "a b c", "en", "s"), (1, "a b", "en", "s"), (1, "a b", "en", "s"), (2, "c", None, "t")])
     got = mix(docs).collect()
     assert len(got) == 4 and sum(r["size"] for r in got) == 8
+
+
+def test_halving_alone_settles_every_source(documents, monkeypatch):
+    """The guard of the solver: where Newton's steps never help, halving reaches the same mix."""
+    from clickfeat.llm import mixing
+
+    docs = table_of(documents, CASES[4])
+    newton = sorted((r["doc_id"], r["taken"]) for r in mix(docs).collect())
+    monkeypatch.setattr(mixing, "HALVING_FROM", 1)
+    assert sorted((r["doc_id"], r["taken"]) for r in mix(docs).collect()) == newton
