@@ -237,3 +237,46 @@ def test_stored_vectors_have_the_form_that_is_read(spark):
     from pyspark.sql import types as T
 
     assert T.StructType(VectorUDT.sqlType().fields).simpleString() == batched.STORED_VECTOR
+
+
+def test_holdout_of_narrow_vectors_takes_few_passes_over_few_records(labelled, monkeypatch):
+    """To full precision; a pass must not hand rows to Python one by one."""
+    passes, made = [], []
+    real, store = batched._pass, batched.store_rows
+    monkeypatch.setattr(batched, "_pass", lambda *a: passes.append(1) or real(*a))
+    monkeypatch.setattr(batched, "store_rows", lambda *a: made.append(store(*a)) or made[0])
+    monkeypatch.setattr(batched.Rows, "drop", lambda rows: None)
+    training = logistic.Training(intercept=True, iterations=500, tolerance=1e-12)
+    batched.repeated_holdout(labelled, "id", training, repeats=3)
+    assert len(passes) <= 10
+    assert made[0].frame.count() < labelled.count() / 100
+
+
+@pytest.mark.parametrize("narrow", [0, 32])
+def test_batched_training_of_odd_vectors(spark, monkeypatch, narrow):
+    """A column of zeros, two equal columns, one class only; blocks of several sizes and vectors without entries."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    monkeypatch.setattr(batched, "NARROW", narrow)
+    monkeypatch.setattr(batched, "BLOCK_VALUES", 50)
+    random.seed(5)
+    rows = []
+    for i in range(300):
+        a = random.uniform(-1, 1)
+        y = float(random.random() < 1 / (1 + math.exp(-2 * a)))
+        dense = i % 3 or i < 100
+        rows.append((i, y, Vectors.dense([a, 0.0, a]) if dense else Vectors.sparse(3, {0: a, 2: a})))
+    rows.append((300, 1.0, Vectors.sparse(3, {})))
+    df = spark.createDataFrame(rows, ["id", "label", "features"])
+    stored = batched.store_rows(df, [F.lit(True), F.col("label") == 1.0])
+    training = logistic.Training(intercept=True, iterations=60, tolerance=1e-13)
+    weights = batched.fit_many(stored, training)
+    assert stored.width == 3 and weights[0][1] == 0
+    assert weights[0][0] == pytest.approx(weights[0][2], abs=1e-5)
+    x = np.array([[r[2].toArray()[0], 1.0] for r in rows])
+    gap = 1 / (1 + np.exp(-x @ [weights[0][0] + weights[0][2], weights[0][3]])) - [r[1] for r in rows]
+    assert x.T @ gap / len(rows) == pytest.approx([0, 0], abs=1e-6)
+    own, _ = batched.log_losses(stored, weights, True, 1e-15)[1]
+    assert np.isfinite(weights).all() and own < 1e-6
+    stored.drop()
