@@ -280,3 +280,18 @@ def test_batched_training_of_odd_vectors(spark, monkeypatch, narrow):
     own, _ = batched.log_losses(stored, weights, True, 1e-15)[1]
     assert np.isfinite(weights).all() and own < 1e-6
     stored.drop()
+
+
+def test_sharded_rows_are_packed_into_blocks(spark, spread):
+    """Iterations must not move a record for each entry. Rows without a label are left out."""
+    rows = spread.select("label", "entries").unionByName(spread.limit(1).selectExpr("CAST(NULL AS double) AS label", "entries"))
+    rows = rows.selectExpr("label AS y", f"coalesce(entries, CAST(array() AS {ENTRIES})) AS entries").coalesce(1)
+    blocks = rows.mapInArrow(sharded._blocked(sharded.np.array([0, FAR]), 400), sharded._BLOCK).collect()
+    y = [v for b in blocks for v in sharded._array(bytes(b["y"]))]
+    assert 4 <= len(blocks) <= 8 and len(y) == spread.count()
+    found = []
+    for b in blocks:
+        assert b["slots"] == sorted(set(b["slots"])) and not {0, FAR} & set(b["slots"])
+        found += [b["slots"][i] for i in sharded._array(bytes(b["at"]))]
+    want = [e["slot"] for r in spread.collect() for e in r["entries"] or [] if e["slot"] not in (0, FAR)]
+    assert sorted(found) == sorted(want)
