@@ -295,3 +295,34 @@ def test_sharded_rows_are_packed_into_blocks(spark, spread):
         found += [b["slots"][i] for i in sharded._array(bytes(b["at"]))]
     want = [e["slot"] for r in spread.collect() for e in r["entries"] or [] if e["slot"] not in (0, FAR)]
     assert sorted(found) == sorted(want)
+
+
+def test_sharded_iterations_move_a_record_for_each_block_and_part(spark, spread, monkeypatch):
+    """Not one for each slot of a block; weights don't depend on how rows and slots are cut, or which slots are hot."""
+    training = logistic.Training(intercept=True, iterations=8, l2=0.01)
+    unlabelled = spark.createDataFrame([(None, [(7, 1.0), (0, 0.5)])], f"label double, entries {ENTRIES}")
+    rows = spread.unionByName(unlabelled).coalesce(2)
+    want = {r["slot"]: r["weight"] for r in sharded.fit(rows, training, FAR + 1).weights.collect()}
+    assert want[7] == 0
+
+    found = {}
+    linked = sharded._linked
+
+    def seen(packed, *rest):
+        made = linked(packed, *rest)
+        found["pairs"] = [(r["part"], r["block"]) for r in made.links.select("part", "block").collect()]
+        found["links"] = made.links.selectExpr("sum(length(at)) / 4 AS n").first()["n"]
+        found["slots"] = packed.selectExpr("sum(size(slots) + size(hot_slots)) AS n").first()["n"]
+        state = made.state.selectExpr("count(*) AS parts", "sum(length(slots)) / 8 AS slots").first()
+        found["parts"], found["distinct"] = state["parts"], state["slots"]
+        return made
+
+    monkeypatch.setattr(sharded, "_linked", seen)
+    for name, value in (("BLOCK_ROWS", 200), ("PART_LINKS", 20), ("HOT_ROWS", 3)):
+        monkeypatch.setattr(sharded, name, value)
+    got = {r["slot"]: r["weight"] for r in sharded.fit(rows, training, FAR + 1, hot_share=0.5).weights.collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    blocks = {b for _, b in found["pairs"]}
+    assert 8 <= len(blocks) <= 10 and len(set(found["pairs"])) == len(found["pairs"]) < found["slots"]
+    assert found["links"] == found["slots"] and found["distinct"] == len(want)
+    assert found["parts"] == -(-found["slots"] // 20)
